@@ -23,4 +23,6 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
     """The row of each key that comes first by ``order`` descending; ties by the other columns."""
     rest = [name for name in df.columns if name not in keys]
     best = df.groupBy(*keys).agg(F.max(newest_first(order, rest)).alias("best"))
-    return best.select(*[name if name in keys else F.col("best")[name] for name in df.columns])
+    return best.select(
+        *[name if name in keys else F.col("best")[name].alias(name) for name in df.columns]
+    )

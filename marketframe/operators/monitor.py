@@ -12,6 +12,7 @@ from pyspark.sql.window import WindowSpec
 
 from marketframe import schemas
 from marketframe.functions import as_date, pct_change
+from marketframe.operators.clean import ensure_column
 
 
 def _by_day() -> WindowSpec:
@@ -106,7 +107,7 @@ def register_views(
 ) -> None:
     """Tables and monitoring views under their SQL names, for ``spark.sql``."""
     views = {
-        "dim_coins": dim.select(*schemas.DIM.names),
+        "dim_coins": ensure_column(dim, "description").select(*schemas.DIM.names),
         "fact_coin_prices": fact.select(*schemas.FACT.names),
         "pipeline_run_log": run_log,
         "v_price_anomalies": price_anomalies(fact, as_of),

@@ -36,5 +36,5 @@ def read_valid(
     """The good rows of a gated dataset; none if the gate let nothing through."""
     if fmt == "csv":
         return read_curated(spark, f"{path}/rows", schema, fmt)
-    split = T.StructType(schema.fields).add("valid", T.BooleanType())
+    split = T.StructType([*schema.fields, T.StructField("valid", T.BooleanType())])
     return read_curated(spark, path, split).filter("valid").select(*schema.names)

@@ -52,7 +52,7 @@ def read_table(
     spark: SparkSession, path: str, schema: T.StructType, partition: str, kind: T.DataType
 ) -> DataFrame:
     """A table with its partition column last; a table not written yet reads as empty."""
-    full = T.StructType(schema.fields).add(partition, kind)
+    full = T.StructType([*schema.fields, T.StructField(partition, kind)])
     try:
         return spark.read.schema(full).parquet(path)
     except AnalysisException as missing:
