@@ -1,5 +1,6 @@
 from marketframe.functions.expressions import (
     epoch_ms_to_date,
+    month_of,
     pct_change,
     stable_key,
     store_cast,
@@ -12,6 +13,7 @@ __all__ = [
     "as_timestamp",
     "date_literal",
     "epoch_ms_to_date",
+    "month_of",
     "pct_change",
     "stable_key",
     "store_cast",

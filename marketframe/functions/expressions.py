@@ -24,6 +24,11 @@ def epoch_ms_to_date(ms: Column) -> Column:
     return F.date_from_unix_date((midnight / F.lit(MS_PER_DAY)).try_cast("int"))
 
 
+def month_of(day: Column) -> Column:
+    """First day of the month."""
+    return F.trunc(day, "MM")
+
+
 def strip_text(text: Column) -> Column:
     """Missing text becomes empty; surrounding white space of any kind goes."""
     return F.btrim(F.coalesce(text, F.lit("")), F.lit(WHITESPACE))

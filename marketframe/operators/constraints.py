@@ -54,14 +54,22 @@ def violations(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
     return df.select(F.explode(F.array_compact(broken)).alias("rule"), *df.columns)
 
 
-def assert_rules(df: DataFrame, rules: Mapping[str, Column], table: str) -> DataFrame:
-    """Raise if any row breaks a rule: one aggregation without a shuffle of rows."""
+def assert_rules(
+    df: DataFrame, rules: Mapping[str, Column], table: str, partition: Column | None = None
+) -> list:
+    """Raise if any row breaks a rule: one aggregation without a shuffle of rows.
+
+    Returns the distinct values of ``partition`` where given, found in the same pass; it must be a
+    column of few values.
+    """
     names = list(rules)
-    counts = df.agg(*[F.count_if(rules[name]).alias(str(i)) for i, name in enumerate(names)])
-    found = [f"{name} ({n} rows)" for name, n in zip(names, counts.first()) if n]
+    counts = [F.count_if(rules[name]).alias(str(i)) for i, name in enumerate(names)]
+    values = F.collect_set(F.lit(None) if partition is None else partition)
+    row = df.agg(*counts, values.alias("values")).first()
+    found = [f"{name} ({n} rows)" for name, n in zip(names, row) if n]
     if found:
         raise ConstraintError(f"{table}: " + "; ".join(found))
-    return df
+    return row["values"]
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:

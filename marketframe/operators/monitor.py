@@ -1,24 +1,19 @@
 """Monitoring views over the loaded tables.
 
-Windows here run over one coin's days. With unique keys a coin has at most one row per date, so
-such a group is bounded by the days in the table, however many rows the raw input had.
+Windows here run over one coin's days or months. Keys are unique in the price table, so such a
+group is bounded by the calendar, however many rows the raw input had.
 """
 
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.window import WindowSpec
 
 from marketframe import schemas
-from marketframe.functions import as_date, pct_change
+from marketframe.functions import as_date, month_of, pct_change
 from marketframe.operators.clean import ensure_column
 
 
-def _by_day() -> WindowSpec:
-    return Window.partitionBy("coin_id").orderBy("price_date")
-
-
 def price_anomalies(
     fact: DataFrame, as_of: date | str | None = None, days: int = schemas.LOOKBACK_DAYS
 ) -> DataFrame:
@@ -31,11 +26,12 @@ def price_anomalies(
     recent = fact.filter(F.col("price_date") >= F.lit(start))
     if schemas.FACT_PARTITION in fact.columns:
         recent = recent.filter(F.col(schemas.FACT_PARTITION) >= F.lit(start.replace(day=1)))
+    by_day = Window.partitionBy("coin_id").orderBy("price_date")
     followed = recent.select(
         "coin_id",
         "price_date",
         "price_usd",
-        F.lag("price_usd").over(_by_day()).alias("previous_price"),
+        F.lag("price_usd").over(by_day).alias("previous_price"),
     )
     change = pct_change(F.col("price_usd"), F.col("previous_price"))
     return followed.withColumn("pct_change", change)
@@ -61,26 +57,43 @@ def missing_dates(
     """Dates without a price, for each coin of ``dim`` that has any price.
 
     The span runs from the first date of the whole table to ``as_of``, the same for all coins.
-    Gaps are found between a coin's neighbouring rows and only then expanded, so that work follows
-    the rows and the gaps, not coins times days.
+
+    Days first shrink to one bit set per coin and month, before any shuffle, so that a thirtieth of
+    the rows travels and a coin's window holds months. Absent days then come from incomplete
+    months and from gaps between months; complete months are never expanded.
     """
     last = F.lit(as_date(as_of))
-    first = fact.agg(F.min("price_date")).scalar()
     day = F.col("price_date")
-    before = F.when(F.lag(day).over(_by_day()).isNull(), first)
-    after = F.coalesce(F.date_sub(F.lead(day).over(_by_day()), 1), last)
-    gaps = fact.select(
+    bit = F.call_function("shiftleft", F.lit(1), F.dayofmonth(day) - 1)
+    months = fact.groupBy("coin_id", month_of(day).alias("month")).agg(
+        F.bit_or(bit).alias("present"), F.min(day).alias("earliest")
+    )
+    first = months.agg(F.min("earliest")).scalar()
+    month = F.col("month")
+    by_month = Window.partitionBy("coin_id").orderBy("month")
+    before = F.when(F.lag(month).over(by_month).isNull(), first)
+    after = F.coalesce(F.date_sub(F.lead(month).over(by_month), 1), last)
+    none = F.lit(0).alias("present")
+
+    def span(start: Column, stop: Column, present: Column) -> Column:
+        return F.struct(start.alias("start"), F.least(stop, last).alias("stop"), present)
+
+    spans = months.select(
         "coin_id",
         F.array(
-            F.struct(before.alias("start"), F.least(F.date_sub(day, 1), last).alias("stop")),
-            F.struct(F.date_add(day, 1).alias("start"), F.least(after, last).alias("stop")),
-        ).alias("gaps"),
-    )
-    spans = gaps.select("coin_id", F.inline("gaps")).filter(F.col("start") <= F.col("stop"))
-    known = spans.join(dim.select("coin_id"), "coin_id", "left_semi")
+            span(before, F.date_sub(month, 1), none),
+            span(F.greatest(month, first), F.last_day(month), F.col("present")),
+            span(F.date_add(F.last_day(month), 1), after, none),
+        ).alias("spans"),
+    ).select("coin_id", F.inline_outer("spans"))
+    incomplete = F.bit_count("present") < F.dayofmonth(F.last_day("start"))
+    gaps = spans.filter((F.col("start") <= F.col("stop")) & incomplete)
+    known = gaps.join(dim.select("coin_id"), "coin_id", "left_semi")
     # sequence() counts down or fails on a reversed span; greatest() keeps it safe on any plan.
-    days = F.sequence("start", F.greatest("start", "stop"))
-    return known.select("coin_id", F.explode(days).alias("expected_date"))
+    days = F.explode(F.sequence("start", F.greatest("start", "stop")))
+    expanded = known.select("coin_id", "present", days.alias("expected_date"))
+    absent = F.getbit("present", F.dayofmonth("expected_date") - 1) == 0
+    return expanded.filter(absent).select("coin_id", "expected_date")
 
 
 def recent_gaps(missing: DataFrame, limit: int = 20) -> DataFrame:

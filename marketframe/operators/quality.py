@@ -133,11 +133,19 @@ def quality_report(
 
 
 def quality_gate(
-    df: DataFrame, threshold: float = schemas.PASS_MARK, **gate_options: object
+    df: DataFrame,
+    keys: Sequence[str] = schemas.FACT_KEYS,
+    critical: Sequence[str] = schemas.CRITICAL_COLUMNS,
+    order: Sequence[str] | None = None,
+    price: str = "price_usd",
+    threshold: float = schemas.PASS_MARK,
 ) -> tuple[DataFrame, DataFrame]:
-    """Valid rows and report, both lazy. To use both, write ``gate_keys`` once and start there."""
-    gated = gate_keys(df, **gate_options)
-    return valid_rows(gated), quality_report(gated, threshold)
+    """Valid rows and report, both lazy and each with its own plan: valid rows never need the
+    incomplete ones, so those are dropped in the scan. To use both, write ``gate_keys`` once and
+    take ``valid_rows`` and ``quality_report`` of what was written.
+    """
+    valid = valid_rows(gate_keys(null_filter(df, critical), keys, critical, order, price))
+    return valid, quality_report(gate_keys(df, keys, critical, order, price), threshold)
 
 
 def report_dict(report: DataFrame) -> dict:

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketframe import schemas
+from marketframe.functions import month_of
 from marketframe.operators import (
     assert_no_orphans,
     assert_rules,
@@ -21,27 +22,33 @@ from marketframe.operators import (
     upsert_fact,
 )
 from marketframe.sources import Lake, merge_partitions
-from marketframe.sources.lake import bucket_of, month_of
+from marketframe.sources.lake import bucket_of
 
 
 def load_dimension(curated: DataFrame, lake: Lake) -> None:
-    assert_rules(curated, dim_rules(), "dim_coins")
-    bucketed = curated.withColumn(schemas.DIM_PARTITION, bucket_of(F.col("coin_id")))
-    target = lake.read_dim(curated.sparkSession)
-    merge_partitions(target, bucketed, lake.dim, schemas.DIM_PARTITION, upsert_dim)
+    bucket = bucket_of(F.col("coin_id"))
+    touched = assert_rules(curated, dim_rules(), "dim_coins", bucket)
+    merge_partitions(
+        lake.read_dim(curated.sparkSession),
+        curated.withColumn(schemas.DIM_PARTITION, bucket),
+        lake.dim,
+        schemas.DIM_PARTITION,
+        touched,
+        upsert_dim,
+    )
 
 
 def _load_fact(curated: DataFrame, lake: Lake, null_policy: str, unique: bool) -> None:
-    assert_rules(curated, fact_rules(), "fact_coin_prices")
-    assert_no_orphans(curated, lake.read_dim(curated.sparkSession), "fact_coin_prices")
     month = month_of(F.col("price_date"))
+    touched = assert_rules(curated, fact_rules(), "fact_coin_prices", month)
+    assert_no_orphans(curated, lake.read_dim(curated.sparkSession), "fact_coin_prices")
     merge_partitions(
         lake.read_fact(curated.sparkSession),
         to_fact(curated, unique).withColumn(schemas.FACT_PARTITION, month),
         lake.fact,
         schemas.FACT_PARTITION,
+        touched,
         lambda target, source: upsert_fact(target, source, null_policy),
-        touched_by=curated.select(month.alias(schemas.FACT_PARTITION)),
     )
 
 
@@ -61,16 +68,12 @@ def load_history(
 
 def load_descriptions(descriptions: DataFrame, lake: Lake) -> dict[str, int]:
     """Set descriptions of existing coins; returns how many were attempted and how many matched."""
-    cleaned = clean_descriptions(descriptions)
     bucket = bucket_of(F.col("coin_id"))
+    touched = assert_rules(descriptions, {}, "descriptions", bucket)
+    cleaned = clean_descriptions(descriptions).withColumn(schemas.DIM_PARTITION, bucket)
     dim = lake.read_dim(descriptions.sparkSession)
     counts = description_update_counts(dim, cleaned).first().asDict()
     merge_partitions(
-        dim,
-        cleaned.withColumn(schemas.DIM_PARTITION, bucket),
-        lake.dim,
-        schemas.DIM_PARTITION,
-        update_descriptions,
-        touched_by=descriptions.select(bucket.alias(schemas.DIM_PARTITION)),
+        dim, cleaned, lake.dim, schemas.DIM_PARTITION, touched, update_descriptions
     )
     return counts

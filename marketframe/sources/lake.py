@@ -1,6 +1,6 @@
 """The durable tables: partitioned parquet, changed one partition at a time."""
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -40,10 +40,6 @@ class Lake:
         return read_table(spark, self.fact, schemas.FACT, schemas.FACT_PARTITION, T.DateType())
 
 
-def month_of(day: Column) -> Column:
-    return F.trunc(day, "MM")
-
-
 def bucket_of(coin_id: Column) -> Column:
     return F.pmod(F.hash(coin_id), F.lit(schemas.DIM_BUCKETS))
 
@@ -66,21 +62,17 @@ def merge_partitions(
     source: DataFrame,
     path: str,
     partition: str,
+    touched: Sequence[object],
     merge: Callable[[DataFrame, DataFrame], DataFrame],
-    touched_by: DataFrame | None = None,
 ) -> None:
-    """Merge ``source`` into the table at ``path``; only the partitions it touches are rewritten.
-
-    ``touched_by`` is a cheaper frame with the same partition values, where there is one.
+    """Merge ``source`` into the table at ``path``, rewriting only the partitions in ``touched``.
 
-    The list of touched partitions is the one thing that comes to the driver, and it is bounded by
-    the months of the calendar or the number of buckets, not by rows. The rewrite is a dynamic
-    partition overwrite: new files are complete before old ones go, so reading the target in the
-    same job is safe. One writer per table at a time.
+    ``touched`` lists the partition values of ``source``; it is bounded by the months of the
+    calendar or the number of buckets, not by rows. The rewrite is a dynamic partition overwrite:
+    new files are complete before old ones go, so reading the target in the same job is safe.
+    One writer per table at a time.
     """
-    keys = (source if touched_by is None else touched_by).select(partition).distinct()
-    touched = [row[0] for row in keys.collect()]
-    merged = merge(target.filter(F.col(partition).isin(touched)), source)
+    merged = merge(target.filter(F.col(partition).isin(*touched)), source)
     # Rebalancing by partition gives well-sized files and splits a partition that holds too much.
     sized = merged.hint("rebalance", partition).sortWithinPartitions(partition, "coin_id")
     (

@@ -55,7 +55,7 @@ class RunLog:
             raise ValueError(f"status must be one of {schemas.STATUSES}: {status!r}")
         row = (self.clock(), stage, status, rows_processed, error_message)
         try:
-            one = self.spark.createDataFrame([row], schemas.RUN_LOG)
+            one = self.spark.createDataFrame([row], schemas.RUN_LOG).coalesce(1)
             append_runs(one, self.path, self.run_id)
         except Exception:
             logger.exception("run log row not written: stage=%s status=%s", stage, status)
