@@ -225,7 +225,7 @@ def backfill_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _comparable(op.select_backfill(fx.px(spark, sf_dir), wanted, days=14, as_of=AS_OF))
 
 
-def _landing(spark: SparkSession, sf_dir: str, root: str) -> Landing:
+def _landing(spark: SparkSession, sf_dir: str, root: str, history: bool) -> Landing:
     landing = Landing(
         coins=f"{root}/coins",
         market=f"{root}/market",
@@ -234,14 +234,15 @@ def _landing(spark: SparkSession, sf_dir: str, root: str) -> Landing:
     )
     fx.coins(spark, sf_dir).write.json(landing.coins)
     fx.market(spark, sf_dir).write.json(landing.market)
-    fx.history_documents(spark, sf_dir).write.text(landing.history)
+    if history:
+        fx.history_documents(spark, sf_dir).write.text(landing.history)
     return landing
 
 
 def daily_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """State of the price table after one daily run on an empty lake."""
     root = f"{scratch_dir(spark, 'daily')}/run"
-    landing, lake = _landing(spark, sf_dir, f"{root}/landing"), Lake(f"{root}/lake")
+    landing, lake = _landing(spark, sf_dir, f"{root}/landing", False), Lake(f"{root}/lake")
     run_daily(spark, landing, lake, AS_OF, RUN_TS)
     return _comparable(lake.read_fact(spark))
 
@@ -249,7 +250,7 @@ def daily_job(spark: SparkSession, sf_dir: str) -> DataFrame:
 def backfill_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """State of the price table after a daily run of 15 January and then a backfill over it."""
     root = f"{scratch_dir(spark, 'backfill')}/run"
-    landing, lake = _landing(spark, sf_dir, f"{root}/landing"), Lake(f"{root}/lake")
+    landing, lake = _landing(spark, sf_dir, f"{root}/landing", True), Lake(f"{root}/lake")
     run_daily(spark, landing, lake, "2024-01-15", "2024-01-15 06:00:00")
     run_backfill(spark, landing, lake, coin_ids="all", as_of=AS_OF, run_ts=RUN_TS)
     return _comparable(lake.read_fact(spark))

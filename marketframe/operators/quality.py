@@ -40,7 +40,8 @@ def _positive(price: Column, kind: T.DataType) -> Column:
 
 
 def null_filter(df: DataFrame, critical: Sequence[str] = schemas.CRITICAL_COLUMNS) -> DataFrame:
-    return df.dropna(subset=list(critical))
+    # dropna() would take NaN as well, which is for the range check to count.
+    return df.filter(_all_present(critical))
 
 
 def range_filter(df: DataFrame, price: str = "price_usd") -> DataFrame:

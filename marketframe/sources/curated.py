@@ -3,7 +3,8 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-# Spark's CSV defaults turn empty text into NULL, trim padding, and split rows at line breaks.
+# Spark's CSV defaults turn empty text into NULL, trim padding, split rows at line breaks, and cut
+# microseconds.
 _CSV = {
     "header": "true",
     "escape": '"',
@@ -11,6 +12,7 @@ _CSV = {
     "emptyValue": "",
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
 }
 _CSV_WRITE = {**_CSV, "quoteAll": "true"}
 _CSV_READ = {**_CSV, "multiLine": "true", "enforceSchema": "false", "mode": "FAILFAST"}

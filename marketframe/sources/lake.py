@@ -54,7 +54,8 @@ def read_table(
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], full)
+        empty = [F.lit(None).cast(field.dataType).alias(field.name) for field in full]
+        return spark.range(1).select(*empty).limit(0)
 
 
 def merge_partitions(

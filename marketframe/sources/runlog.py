@@ -7,9 +7,10 @@ from dataclasses import dataclass, field
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from marketframe import schemas
-from marketframe.functions import as_timestamp
+from marketframe.functions import as_timestamp, timestamp_literal
 
 logger = logging.getLogger(__name__)
 
@@ -53,10 +54,16 @@ class RunLog:
             raise ValueError(f"stage must be one of {schemas.STAGES}: {stage!r}")
         if status not in schemas.STATUSES:
             raise ValueError(f"status must be one of {schemas.STATUSES}: {status!r}")
-        row = (self.clock(), stage, status, rows_processed, error_message)
+        values = {
+            "run_date": timestamp_literal(self.clock()),
+            "stage": F.lit(stage),
+            "status": F.lit(status),
+            "rows_processed": F.lit(rows_processed),
+            "error_message": F.lit(error_message),
+        }
+        row = [values[f.name].cast(f.dataType).alias(f.name) for f in schemas.RUN_LOG]
         try:
-            one = self.spark.createDataFrame([row], schemas.RUN_LOG).coalesce(1)
-            append_runs(one, self.path, self.run_id)
+            append_runs(self.spark.range(0, 1, numPartitions=1).select(*row), self.path, self.run_id)
         except Exception:
             logger.exception("run log row not written: stage=%s status=%s", stage, status)
 

@@ -1,0 +1,116 @@
+from datetime import datetime
+from decimal import Decimal
+
+import pytest
+
+from marketframe.operators import (
+    clean_descriptions,
+    description_update_counts,
+    pad_history,
+    to_fact,
+    update_descriptions,
+    upsert_dim,
+    upsert_fact,
+)
+
+
+def bag(df):
+    return sorted(map(tuple, df.collect()), key=repr)
+
+
+@pytest.fixture
+def target(prices):
+    return to_fact(prices([
+        ("a", "2024-01-01", 1.0, 10.0, 5.0),
+        ("a", "2024-01-02", 2.0, 20.0, 6.0),
+        ("b", "2024-01-01", 3.0, 30.0, 7.0),
+    ]))
+
+
+@pytest.fixture
+def batch(prices):
+    return to_fact(pad_history(prices([
+        ("a", "2024-01-02", 2.5), ("c", "2024-01-01", 9.0),
+    ])))
+
+
+def test_backfill_erases_cap_and_volume(target, batch):
+    rows = {(r.coin_id, str(r.price_date)): r for r in upsert_fact(target, batch).collect()}
+    assert len(rows) == 4
+    replaced = rows["a", "2024-01-02"]
+    assert (replaced.price_usd, replaced.market_cap_usd, replaced.volume_24h_usd) == (
+        Decimal("2.5"), None, None,
+    )
+    assert rows["b", "2024-01-01"].market_cap_usd == Decimal("30.00")
+
+
+def test_keep_leaves_old_values_under_nulls(target, batch):
+    kept = upsert_fact(target, batch, null_policy="keep")
+    rows = {(r.coin_id, str(r.price_date)): r for r in kept.collect()}
+    assert len(rows) == 4 and kept.columns == target.columns
+    assert rows["a", "2024-01-02"].market_cap_usd == Decimal("20.00")
+    assert rows["a", "2024-01-02"].price_usd == Decimal("2.5")
+
+
+@pytest.mark.parametrize("policy", ["replace", "keep"])
+def test_upsert_twice_is_upsert_once(target, batch, policy):
+    once = upsert_fact(target, batch, policy)
+    assert bag(upsert_fact(once, batch, policy)) == bag(once)
+
+
+def test_unknown_policy(target, batch):
+    with pytest.raises(ValueError, match="null_policy"):
+        upsert_fact(target, batch, "merge")
+
+
+def test_fact_takes_the_latest_row_per_key(prices):
+    early, late = datetime(2024, 1, 1, 1), datetime(2024, 1, 1, 2)
+    raw = prices([
+        ("a", "2024-01-01", 1.0, None, None, late), ("a", "2024-01-01", 2.0, None, None, early),
+    ])
+    assert [r.price_usd for r in to_fact(raw).collect()] == [Decimal("1")]
+
+
+def test_overflow_fails_the_load(prices):
+    with pytest.raises(Exception, match="numeric overflow in price_usd"):
+        to_fact(prices([("a", "2024-01-01", 1e12)])).collect()
+
+
+def test_dim_upsert_keeps_description(spark):
+    target = spark.createDataFrame(
+        [("a", "A", "old", "text"), ("b", "B", "keep", None)],
+        "coin_id string, symbol string, name string, description string",
+    )
+    source = spark.createDataFrame(
+        [("a", "AA", "new"), ("c", "C", "fresh")], "coin_id string, symbol string, name string"
+    )
+    merged = upsert_dim(target, source)
+    expected = [("a", "AA", "new", "text"), ("b", "B", "keep", None), ("c", "C", "fresh", None)]
+    assert bag(merged) == expected
+    assert bag(upsert_dim(merged, source)) == expected
+
+
+def test_duplicate_coin_in_a_batch_is_an_error(spark):
+    target = spark.createDataFrame([("x", "X")], "coin_id string, symbol string")
+    source = spark.createDataFrame([("a", "A"), ("a", "A")], "coin_id string, symbol string")
+    with pytest.raises(Exception, match="duplicate coin_id in dimension batch: a"):
+        upsert_dim(target, source).collect()
+
+
+def test_descriptions(spark):
+    dim = spark.createDataFrame(
+        [("a", "old a"), ("b", "old b"), ("c", None)], "coin_id string, description string"
+    )
+    landed = spark.createDataFrame(
+        [("a", " new\n"), ("b", "  "), ("b", None), ("zz", "lost"), (None, "x")],
+        "coin_id string, description string",
+    )
+    cleaned = clean_descriptions(landed)
+    assert bag(cleaned) == [("a", "new"), ("zz", "lost")]
+    assert bag(update_descriptions(dim, cleaned)) == [("a", "new"), ("b", "old b"), ("c", None)]
+    counted = description_update_counts(dim, cleaned).first()
+    assert (counted.attempted, counted.matched) == (2, 1)
+
+
+def test_replace_is_an_anti_join(target, batch, plan):
+    assert "LeftAnti" in plan(upsert_fact(target, batch))

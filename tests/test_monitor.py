@@ -1,0 +1,161 @@
+from datetime import date, timedelta
+from decimal import Decimal
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from marketframe.operators import (
+    date_series,
+    large_moves,
+    missing_dates,
+    pipeline_health,
+    price_anomalies,
+    recent_gaps,
+    register_views,
+    to_fact,
+)
+
+
+@pytest.fixture
+def fact(prices):
+    return lambda rows: to_fact(prices(rows))
+
+
+@pytest.fixture
+def dim(spark):
+    return lambda *coins: spark.createDataFrame([(c,) for c in coins], "coin_id string")
+
+
+def gaps(dim, fact, as_of):
+    return sorted((r.coin_id, str(r.expected_date)) for r in missing_dates(dim, fact, as_of).collect())
+
+
+def test_previous_is_the_previous_row_across_gaps(fact):
+    rows = price_anomalies(
+        fact([("a", "2024-01-20", 10.0), ("a", "2024-01-24", 15.0)]), "2024-01-31"
+    ).orderBy("price_date").collect()
+    assert rows[0].previous_price is None and rows[0].pct_change is None
+    assert rows[1].previous_price == Decimal("10") and rows[1].pct_change == Decimal("50.00")
+
+
+def test_look_back_comes_before_the_window_and_has_no_end(fact):
+    rows = price_anomalies(
+        fact([("a", "2023-12-31", 1.0), ("a", "2024-01-01", 2.0), ("a", "2025-01-01", 3.0)]),
+        "2024-01-31",
+    ).orderBy("price_date").collect()
+    assert [str(r.price_date) for r in rows] == ["2024-01-01", "2025-01-01"]
+    assert rows[0].previous_price is None
+
+
+def test_tiny_price_stored_as_zero_gives_no_change(fact):
+    rows = price_anomalies(
+        fact([("a", "2024-01-01", 4e-9), ("a", "2024-01-02", 1.0)]), "2024-01-31"
+    ).orderBy("price_date").collect()
+    assert rows[1].previous_price == 0 and rows[1].pct_change is None
+
+
+def test_large_moves_both_ways(fact):
+    moves = large_moves(price_anomalies(
+        fact([("a", "2024-01-01", 10.0), ("a", "2024-01-02", 12.0), ("a", "2024-01-03", 9.0),
+              ("a", "2024-01-04", 20.0)]), "2024-01-31"))
+    assert [(str(r.price_date), r.pct_change) for r in moves.collect()] == [
+        ("2024-01-04", Decimal("122.22")), ("2024-01-03", Decimal("-25.00")),
+    ]
+
+
+def test_gap_spans_start_at_the_global_minimum(dim, fact):
+    table = fact([("a", "2024-01-30", 1.0), ("a", "2024-02-02", 1.0), ("b", "2024-02-01", 1.0)])
+    assert gaps(dim("a", "b", "idle"), table, "2024-02-03") == [
+        ("a", "2024-01-31"), ("a", "2024-02-01"), ("a", "2024-02-03"),
+        ("b", "2024-01-30"), ("b", "2024-01-31"), ("b", "2024-02-02"), ("b", "2024-02-03"),
+    ]
+
+
+def test_coin_with_only_later_dates_misses_the_whole_span(dim, fact):
+    table = fact([("a", "2024-01-01", 1.0), ("late", "2024-03-01", 1.0)])
+    assert gaps(dim("a", "late"), table, "2024-01-02") == [
+        ("a", "2024-01-02"), ("late", "2024-01-01"), ("late", "2024-01-02"),
+    ]
+
+
+def test_no_gaps_before_the_first_price_or_without_prices(dim, fact):
+    table = fact([("a", "2024-01-05", 1.0)])
+    assert gaps(dim("a"), table, "2024-01-04") == []
+    assert gaps(dim("a"), table.limit(0), "2024-01-04") == []
+    assert gaps(dim("other"), table, "2024-01-09") == []
+    assert date_series(table, "2024-01-04").collect() == []
+    assert date_series(table.limit(0), "2024-01-04").collect() == []
+    assert [str(r[0]) for r in date_series(table, "2024-01-06").collect()] == [
+        "2024-01-05", "2024-01-06",
+    ]
+
+
+@settings(max_examples=12, deadline=None,
+          suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    st.lists(st.tuples(st.sampled_from("abc"), st.integers(0, 130)), max_size=60),
+    st.integers(-5, 140),
+)
+def test_gaps_equal_the_full_grid(spark, dim, observed, offset):
+    base = date(2023, 11, 20)
+    seen = {(coin, base + timedelta(days=n)) for coin, n in observed}
+    as_of = base + timedelta(days=offset)
+    expected = []
+    if seen:
+        first = min(day for _, day in seen)
+        span = [first + timedelta(days=n) for n in range((as_of - first).days + 1)]
+        coins = {coin for coin, _ in seen} & {"a", "b"}
+        expected = sorted((c, str(d)) for c in coins for d in span if (c, d) not in seen)
+    table = spark.createDataFrame(
+        [(coin, base + timedelta(days=n)) for coin, n in observed],
+        "coin_id string, price_date date",
+    )
+    assert gaps(dim("a", "b"), table, as_of) == expected
+
+
+def test_recent_gaps_have_a_total_order(dim, fact):
+    table = fact([("a", "2024-01-01", 1.0), ("b", "2024-01-01", 1.0)])
+    top = recent_gaps(missing_dates(dim("a", "b"), table, "2024-01-03"), 3).collect()
+    assert [(str(r.expected_date), r.coin_id) for r in top] == [
+        ("2024-01-03", "a"), ("2024-01-03", "b"), ("2024-01-02", "a"),
+    ]
+
+
+def test_health_skips_nulls(spark):
+    log = spark.createDataFrame(
+        [("loading", "success", None), ("loading", "success", None),
+         ("transformation", "success", 5), ("transformation", "success", None)],
+        "stage string, status string, rows_processed bigint",
+    ).withColumn("run_date", F.lit("2024-01-01").cast("timestamp_ntz"))
+    rows = [(r.stage, r.total_runs, r.total_rows_processed) for r in pipeline_health(log).collect()]
+    assert rows == [("loading", 2, None), ("transformation", 2, 5)]
+
+
+def test_views_answer_sql(spark, dim, fact):
+    log = spark.createDataFrame(
+        [("loading", "success", 1)], "stage string, status string, rows_processed bigint"
+    ).withColumn("run_date", F.lit("2024-01-01").cast("timestamp_ntz"))
+    coins = dim("a").selectExpr("*", "'A' symbol", "'Aa' name", "timestamp_ntz'2024-01-01' loaded_at")
+    table = fact([("a", "2024-01-01", 1.0), ("a", "2024-01-02", 2.0)])
+    register_views(spark, coins, table, log, "2024-01-04")
+    moves = "SELECT * FROM v_price_anomalies WHERE ABS(pct_change) > 20 ORDER BY price_date DESC"
+    assert spark.sql(moves).count() == 1
+    missing = "SELECT * FROM v_missing_dates ORDER BY expected_date DESC LIMIT 20"
+    assert [str(r.expected_date) for r in spark.sql(missing).collect()] == [
+        "2024-01-04", "2024-01-03",
+    ]
+    assert spark.sql("SELECT * FROM v_pipeline_health").count() == 1
+    assert spark.table("dim_coins").columns[-1] == "description"
+
+
+def test_anomaly_plan_has_one_window(fact, plan):
+    text = plan(price_anomalies(fact([("a", "2024-01-01", 1.0)]), "2024-01-31"))
+    assert text.count("Window [") == 1
+
+
+def test_missing_dates_pre_aggregates_and_never_builds_the_grid(dim, fact, plan):
+    text = plan(missing_dates(dim("a"), fact([("a", "2024-01-01", 1.0)]), "2024-01-31"))
+    assert "partial_bit_or" in text
+    assert "CartesianProduct" not in text and "NestedLoop" not in text

@@ -1,0 +1,37 @@
+"""Every query against its independent SQL, and the contract of the entry module."""
+
+import pytest
+from compare import differences, open_tables
+from conftest import TESTDATA
+
+import __spark_entry__ as suite
+
+
+@pytest.fixture(scope="module")
+def tables():
+    return open_tables(TESTDATA)
+
+
+@pytest.mark.parametrize("name", list(suite.queries()))
+def test_query_matches_sql(spark, tables, name):
+    result = suite.queries()[name](spark, TESTDATA)
+    assert differences(result, tables, suite.oracle_sql()[name]) == []
+
+
+def test_every_query_has_an_oracle():
+    assert set(suite.queries()) == set(suite.oracle_sql())
+
+
+def test_entry_gives_rows(spark):
+    assert suite.entry(spark).count() > 0
+
+
+@pytest.mark.parametrize("name", ["epoch_to_date", "history_flatten", "snapshot_projection"])
+def test_session_time_zone_does_not_matter(spark, tables, name):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Jakarta")
+    try:
+        result = suite.queries()[name](spark, TESTDATA)
+        assert differences(result, tables, suite.oracle_sql()[name]) == []
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
