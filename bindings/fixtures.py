@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketframe.operators import quality_gate
+from marketframe.operators import gate_rows
 
 AS_OF = "2024-01-31"
 RUN_TS = "2024-01-31 06:00:00"
@@ -32,8 +32,7 @@ def px_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def px(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gated prices: the latest observation of each coin and day, where positive."""
-    valid, _ = quality_gate(px_raw(spark, sf_dir), order=["processed_at"])
-    return valid
+    return gate_rows(px_raw(spark, sf_dir), order=["processed_at"])
 
 
 def coins(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -42,6 +42,7 @@ from marketframe.operators.monitor import (
 from marketframe.operators.quality import (
     enforce_quality,
     gate_keys,
+    gate_rows,
     null_filter,
     null_profile,
     quality_gate,
@@ -69,6 +70,7 @@ __all__ = [
     "ensure_column",
     "fact_rules",
     "gate_keys",
+    "gate_rows",
     "large_moves",
     "latest_per_key",
     "missing_dates",

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from marketframe import schemas
 from marketframe.functions import as_timestamp, timestamp_literal
-from marketframe.operators.latest import newest_first
+from marketframe.operators.latest import latest_per_key, newest_first
 
 logger = logging.getLogger(__name__)
 
@@ -39,6 +39,10 @@ def _positive(price: Column, kind: T.DataType) -> Column:
     return positive & ~F.isnan(price) if isinstance(kind, (T.DoubleType, T.FloatType)) else positive
 
 
+def _survivor_order(df: DataFrame, price: str) -> list[str]:
+    return [name for name in (TIMESTAMP, price) if name in df.columns]
+
+
 def null_filter(df: DataFrame, critical: Sequence[str] = schemas.CRITICAL_COLUMNS) -> DataFrame:
     # dropna() would take NaN as well, which is for the range check to count.
     return df.filter(_all_present(critical))
@@ -68,8 +72,7 @@ def gate_keys(
     where another copy was good: the order of the checks is part of the result. NULLs are counted
     in the columns of ``profile``, by default all but ``timestamp_ms``.
     """
-    if order is None:
-        order = [name for name in (TIMESTAMP, price) if name in df.columns]
+    order = _survivor_order(df, price) if order is None else order
     if profile is None:
         profile = [name for name in df.columns if name != TIMESTAMP]
     rest = [name for name in df.columns if name not in keys]
@@ -78,14 +81,20 @@ def gate_keys(
         F.max(F.when(complete, newest_first(order, rest))).alias("best"),
         F.count(F.lit(1)).alias(ROWS),
         F.count_if(complete).alias(COMPLETE),
-        *[F.count_if(F.col(name).isNull()).alias(NULLS + name) for name in profile],
+        *[F.count(name).alias(NULLS + name) for name in profile if name not in keys],
     )
+
+    def nulls(name: str) -> Column:
+        if name in keys:
+            return F.when(F.col(name).isNull(), F.col(ROWS)).otherwise(0)
+        return F.col(ROWS) - F.col(NULLS + name)
+
     passes = _positive(F.col("best")[price], df.schema[price].dataType)
     return gated.select(
         *[name if name in keys else F.col("best")[name].alias(name) for name in df.columns],
         ROWS,
         COMPLETE,
-        *[NULLS + name for name in profile],
+        *[nulls(name).alias(NULLS + name) for name in profile],
         F.coalesce(passes, F.lit(False)).alias(VALID),
     )
 
@@ -133,6 +142,18 @@ def quality_report(
     return report.withColumn("passed", F.col("quality_score_pct") >= threshold)
 
 
+def gate_rows(
+    df: DataFrame,
+    keys: Sequence[str] = schemas.FACT_KEYS,
+    critical: Sequence[str] = schemas.CRITICAL_COLUMNS,
+    order: Sequence[str] | None = None,
+    price: str = "price_usd",
+) -> DataFrame:
+    """The valid rows alone: without counters, incomplete rows can go in the scan already."""
+    order = _survivor_order(df, price) if order is None else order
+    return range_filter(latest_per_key(null_filter(df, critical), keys, order), price)
+
+
 def quality_gate(
     df: DataFrame,
     keys: Sequence[str] = schemas.FACT_KEYS,
@@ -141,12 +162,12 @@ def quality_gate(
     price: str = "price_usd",
     threshold: float = schemas.PASS_MARK,
 ) -> tuple[DataFrame, DataFrame]:
-    """Valid rows and report, both lazy and each with its own plan: valid rows never need the
-    incomplete ones, so those are dropped in the scan. To use both, write ``gate_keys`` once and
-    take ``valid_rows`` and ``quality_report`` of what was written.
+    """Valid rows and report, both lazy and each with its own plan.
+
+    To use both, write ``gate_keys`` once and take ``valid_rows`` and ``quality_report`` of that.
     """
-    valid = valid_rows(gate_keys(null_filter(df, critical), keys, critical, order, price))
-    return valid, quality_report(gate_keys(df, keys, critical, order, price), threshold)
+    report = quality_report(gate_keys(df, keys, critical, order, price), threshold)
+    return gate_rows(df, keys, critical, order, price), report
 
 
 def report_dict(report: DataFrame) -> dict:
