@@ -16,7 +16,8 @@ _SHARED = {
     "px": """
         select coin_id, price_date, price_usd, market_cap_usd, volume_24h_usd, processed_at
         from (select *, row_number() over (partition by coin_id, price_date
-                                           order by processed_at desc) as rn
+                                           order by processed_at desc, price_usd desc,
+                                                    market_cap_usd desc) as rn
               from px_raw
               where coin_id is not null and price_date is not null and price_usd is not null) d
         where rn = 1 and price_usd > 0""",
@@ -160,6 +161,9 @@ ORACLES: dict[str, str] = {
                   processed_at from px""",
     ),
     "description_flatten": _with(["texts"], "select * from texts"),
+    "description_details": _with(
+        ["texts"], f"select coin_id, trim(description, '{WHITESPACE}') as description from texts"
+    ),
     "epoch_to_date": "select event_id, cast(ts as date) as price_date from events",
     "null_filter": _with(
         ["px_raw"],
@@ -191,7 +195,9 @@ ORACLES: dict[str, str] = {
         ["px_raw"],
         f"""select {_PRICES}
             from (select *, row_number() over (partition by coin_id, price_date
-                                               order by processed_at desc nulls first) as rn
+                                               order by processed_at desc nulls first,
+                                                        price_usd desc nulls last,
+                                                        market_cap_usd desc) as rn
                   from px_raw) r where rn = 1""",
     ),
     "price_anomalies": _with(["anomalies"], "select * from anomalies"),

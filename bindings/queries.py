@@ -20,6 +20,7 @@ from marketframe.sources import (
     append_runs,
     flatten_descriptions,
     flatten_history,
+    read_coin_details,
     read_curated,
     read_runs,
     write_curated,
@@ -65,6 +66,15 @@ def description_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flatten_descriptions(fx.description_documents(spark, sf_dir))
 
 
+def description_details(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Coin detail objects, landed as JSON lines and read back."""
+    path, texts = f"{scratch_dir(spark, 'details')}/landed", fx.descriptions(spark, sf_dir)
+    languages = F.struct(F.lit("x").alias("de"), F.col("description").alias("en"))
+    details = texts.select(F.col("coin_id").alias("id"), languages.alias("description"))
+    details.write.json(path)
+    return read_coin_details(spark, path, multi_line=False)
+
+
 def epoch_to_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = fx.table(spark, sf_dir, "events")
     return events.select("event_id", epoch_ms_to_date(fx.epoch_ms(F.col("ts"))).alias("price_date"))
@@ -289,6 +299,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         history_clean,
         history_padding,
         description_flatten,
+        description_details,
         epoch_to_date,
         null_filter,
         range_filter,

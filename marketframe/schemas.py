@@ -25,6 +25,8 @@ HISTORY = T.MapType(
     _struct(prices=T.ArrayType(T.ArrayType(T.DoubleType()))),
 )
 
+COIN_DETAILS = _struct(id=T.StringType(), description=_struct(en=T.StringType()))
+
 DESCRIPTIONS = T.MapType(T.StringType(), T.StringType())
 
 # Curated data, between transform and load.

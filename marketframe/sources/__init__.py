@@ -3,6 +3,7 @@ from marketframe.sources.database import jdbc_properties, write_staging
 from marketframe.sources.landed import (
     flatten_descriptions,
     flatten_history,
+    read_coin_details,
     read_coin_list,
     read_descriptions,
     read_history,
@@ -19,6 +20,7 @@ __all__ = [
     "flatten_history",
     "jdbc_properties",
     "merge_partitions",
+    "read_coin_details",
     "read_coin_list",
     "read_curated",
     "read_descriptions",

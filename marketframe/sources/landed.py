@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marketframe import schemas
+from marketframe.functions import strip_text
 
 
 def _read_objects(
@@ -31,6 +32,16 @@ def read_market(
     return _read_objects(spark, path, schemas.MARKET, multi_line, mode)
 
 
+def read_coin_details(
+    spark: SparkSession, path: str, multi_line: bool = True, mode: str = "FAILFAST"
+) -> DataFrame:
+    """Coin detail objects to one English description per coin, stripped; empty where there is none."""
+    details = _read_objects(spark, path, schemas.COIN_DETAILS, multi_line, mode)
+    return details.select(
+        F.col("id").alias("coin_id"), strip_text(F.col("description.en")).alias("description")
+    )
+
+
 def _parse(document: str | Column, schema: T.DataType, mode: str) -> Column:
     document = F.col(document) if isinstance(document, str) else document
     return F.from_json(document, schema, {"mode": mode})

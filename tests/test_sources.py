@@ -1,4 +1,5 @@
 import json
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 from types import SimpleNamespace
 
@@ -12,6 +13,7 @@ from marketframe.sources import (
     flatten_history,
     jdbc_properties,
     merge_partitions,
+    read_coin_details,
     read_coin_list,
     read_curated,
     read_descriptions,
@@ -74,6 +76,13 @@ def test_descriptions(spark, land):
     assert [tuple(r) for r in rows] == [("a", "x"), ("b", ""), ("c", None)]
 
 
+def test_coin_details(spark, land):
+    details = [{"id": "a", "description": {"de": "x", "en": "  y\n"}}, {"id": "b", "description": {}},
+               {"id": "c"}]
+    rows = read_coin_details(spark, land("details", details)).collect()
+    assert [tuple(r) for r in rows] == [("a", "y"), ("b", ""), ("c", "")]
+
+
 TRICKY = ["", None, "  padded ", "line\nbreak", "cr\r\nlf", 'quo"te', "back\\slash", "comma,", "\\\"", "ü"]
 
 
@@ -189,6 +198,23 @@ def test_appends_add_up(spark, tmp_path):
     assert read_runs(spark, str(tmp_path)).count() == 3
 
 
+def test_runs_may_write_at_the_same_time(spark, tmp_path):
+    """Each run has its own curated folder and log folder, so no overwrite meets another."""
+    lake = Lake(str(tmp_path))
+
+    def one_run(number):
+        log = RunLog(spark, lake.run_log, f"run{number}")
+        with log.stage("transformation") as stage:
+            path = lake.curated("daily", f"run{number}", "dim_coins")
+            write_curated(spark.range(number), path)
+            stage.rows_processed = spark.read.parquet(path).count()
+
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(one_run, range(1, 9)))
+    rows = read_runs(spark, lake.run_log).collect()
+    assert sorted(r.rows_processed for r in rows) == list(range(1, 9))
+
+
 def test_jdbc_options(spark):
     """No database is started here: the options, and that the write goes through JDBC at all."""
     properties = jdbc_properties("u", "p", "no.such.Driver", num_partitions=3, batch_size=50)
