@@ -1,6 +1,7 @@
 """The durable tables: partitioned parquet, changed one partition at a time."""
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -58,6 +59,23 @@ def read_table(
         return spark.range(1).select(*empty).limit(0)
 
 
+# Size of a table write's tasks, and so of its files, before compression. Rows arrive hashed by
+# partition: a smaller partition is one file, a larger one is split to this size.
+_FILE_SIZING = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m"}
+
+
+@contextmanager
+def _settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    before = {key: spark.conf.get(key) for key in values}
+    try:
+        for key, value in values.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
 def merge_partitions(
     target: DataFrame,
     source: DataFrame,
@@ -65,20 +83,22 @@ def merge_partitions(
     partition: str,
     touched: Sequence[object],
     merge: Callable[[DataFrame, DataFrame], DataFrame],
+    file_sizing: dict[str, str] | None = None,
 ) -> None:
     """Merge ``source`` into the table at ``path``, rewriting only the partitions in ``touched``.
 
     ``touched`` lists the partition values of ``source``; it is bounded by the months of the
     calendar or the number of buckets, not by rows. The rewrite is a dynamic partition overwrite:
     new files are complete before old ones go, so reading the target in the same job is safe.
-    One writer per table at a time.
+    One writer per table at a time. ``file_sizing`` replaces the adaptive settings of the write.
     """
     merged = merge(target.filter(F.col(partition).isin(*touched)), source)
     # Rebalancing by partition gives well-sized files and splits a partition that holds too much.
     sized = merged.hint("rebalance", partition).sortWithinPartitions(partition, "coin_id")
-    (
-        sized.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition)
-        .parquet(path)
-    )
+    with _settings(target.sparkSession, _FILE_SIZING if file_sizing is None else file_sizing):
+        (
+            sized.write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(partition)
+            .parquet(path)
+        )

@@ -192,3 +192,21 @@ def test_reads_prune_months(spark, landing, lake, plan):
     assert "PartitionFilters: [isnotnull(price_month" in text
     assert "GreaterThanOrEqual(price_date,2024-02-14)" in text
     assert "market_cap_usd" not in text
+
+
+def test_failed_merge_leaves_the_table_as_it_was(spark, landing, lake):
+    run_backfill(spark, landing(), lake, **RUN)
+    before = state(spark, lake)
+    huge = [{"id": "bitcoin", "current_price": 1e12, "market_cap": 1, "total_volume": 1}]
+    with pytest.raises(Exception, match="numeric overflow in price_usd"):
+        run_daily(spark, landing(market=huge), lake, **RUN)
+    assert state(spark, lake) == before
+    assert ("loading", "failed", None) in stages(spark, lake)
+
+
+def test_same_run_id_can_be_repeated(spark, landing, lake):
+    files = landing()
+    for _ in range(2):
+        result = run_daily(spark, files, lake, run_id="r1", **RUN)
+    assert result.run_id == "r1"
+    assert len(state(spark, lake)) == 1

@@ -126,16 +126,16 @@ def test_only_touched_partitions_are_rewritten(spark, tmp_path):
 
 def test_hot_partition_is_split_when_rewritten(spark, tmp_path):
     """One partition with nearly all rows must not be written by one task."""
-    size = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
-    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
-    try:
-        source = spark.range(0, 200_000, numPartitions=16).selectExpr(
-            "uuid() coin_id", "if(id % 100 = 0, 2, 1) p"
-        )
-        path = str(tmp_path / "hot")
-        merge_partitions(source.limit(0), source, path, "p", [1, 2], lambda old, new: new)
-    finally:
-        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", size)
+    advisory = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(advisory)
+    source = spark.range(0, 200_000, numPartitions=16).selectExpr(
+        "uuid() coin_id", "if(id % 100 = 0, 2, 1) p"
+    )
+    path = str(tmp_path / "hot")
+    merge_partitions(
+        source.limit(0), source, path, "p", [1, 2], lambda old, new: new, {advisory: "64k"}
+    )
+    assert spark.conf.get(advisory) == before
     assert len(list((tmp_path / "hot" / "p=1").glob("*.parquet"))) > 4
     assert spark.read.parquet(path).count() == 200_000
 
