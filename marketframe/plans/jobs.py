@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from marketframe import schemas
 from marketframe.functions import as_date, as_timestamp
-from marketframe.operators import register_views
+from marketframe.operators import clean_descriptions, register_views
 from marketframe.plans.build import build_dimension, build_history, build_snapshot
 from marketframe.plans.load import load_descriptions, load_dimension, load_history, load_snapshot
 from marketframe.sources import (
@@ -22,6 +22,7 @@ from marketframe.sources import (
     read_market,
     read_runs,
     read_valid,
+    write_curated,
 )
 
 
@@ -142,11 +143,15 @@ def run_all(
     return daily, backfill
 
 
-def enrich_descriptions(spark: SparkSession, landing: Landing, lake: Lake) -> dict[str, int]:
+def enrich_descriptions(
+    spark: SparkSession, landing: Landing, lake: Lake, run_id: str | None = None
+) -> dict[str, int]:
     """On demand, outside the scheduled jobs: landed descriptions onto existing coins."""
-    return load_descriptions(
-        read_descriptions(spark, landing.descriptions, landing.multi_line), lake
-    )
+    run = _Run.start(spark, lake, "descriptions", None, None, run_id)
+    landed = read_descriptions(spark, landing.descriptions, landing.multi_line)
+    cleaned = clean_descriptions(landed)
+    path = write_curated(cleaned, run.path("texts"))
+    return load_descriptions(read_curated(spark, path, cleaned.schema), lake, cleaned=True)
 
 
 def open_views(spark: SparkSession, lake: Lake, as_of: date | str | None = None) -> None:

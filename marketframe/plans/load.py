@@ -66,14 +66,17 @@ def load_history(
     _load_fact(pad_history(curated), lake, null_policy, unique)
 
 
-def load_descriptions(descriptions: DataFrame, lake: Lake) -> dict[str, int]:
-    """Set descriptions of existing coins; returns how many were attempted and how many matched."""
+def load_descriptions(
+    descriptions: DataFrame, lake: Lake, cleaned: bool = False
+) -> dict[str, int]:
+    """Set descriptions of existing coins; returns how many were attempted and how many matched.
+
+    ``cleaned`` says that the texts come out of ``clean_descriptions``.
+    """
     bucket = bucket_of(F.col("coin_id"))
     touched = assert_rules(descriptions, {}, "descriptions", bucket)
-    cleaned = clean_descriptions(descriptions).withColumn(schemas.DIM_PARTITION, bucket)
+    texts = descriptions if cleaned else clean_descriptions(descriptions)
     dim = lake.read_dim(descriptions.sparkSession)
-    counts = description_update_counts(dim, cleaned).first().asDict()
-    merge_partitions(
-        dim, cleaned, lake.dim, schemas.DIM_PARTITION, touched, update_descriptions
-    )
+    counts = description_update_counts(dim, texts).first().asDict()
+    merge_partitions(dim, texts, lake.dim, schemas.DIM_PARTITION, touched, update_descriptions)
     return counts
