@@ -4,11 +4,12 @@ from marketframe.functions.expressions import WHITESPACE
 
 _SHARED = {
     "px_raw": """
-        select case when k = 7 then null else concat('coin_', cast(user_id as varchar)) end as coin_id,
+        select case when k = 7 then null
+                    else concat('coin_', cast(user_id as varchar)) end as coin_id,
                cast(ts as date) as price_date,
                case when k = 9 then null
-                    else cast(cast(value as decimal(20,8)) - cast(1 as decimal(20,8)) as decimal(20,8))
-               end as price_usd,
+                    else cast(cast(value as decimal(20,8)) - cast(1 as decimal(20,8))
+                              as decimal(20,8)) end as price_usd,
                cast(cast(value as decimal(20,8)) * 1000 as decimal(20,2)) as market_cap_usd,
                cast(cast(value as decimal(20,8)) * 10 as decimal(20,2)) as volume_24h_usd,
                ts as processed_at
@@ -116,7 +117,8 @@ def _with(names: list[str], body: str, **values: str) -> str:
     return f"with {views} {body}" if views else body
 
 
-_DOUBLES = """cast(price_usd as double) as price_usd, cast(market_cap_usd as double) as market_cap_usd,
+_DOUBLES = """cast(price_usd as double) as price_usd,
+    cast(market_cap_usd as double) as market_cap_usd,
     cast(volume_24h_usd as double) as volume_24h_usd, processed_at"""
 _PRICES = f"coin_id, price_date, {_DOUBLES}"
 _RUN = "timestamp '2024-01-31 06:00:00'"

@@ -177,7 +177,8 @@ def fact_upsert_keep_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
 def dim_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     dim, symbol = fx.dim(spark, sf_dir), F.col("symbol")
     target = dim.filter(symbol != "MACHINERY")
-    batch = dim.filter(symbol != "BUILDING").select("coin_id", "symbol", F.upper("name").alias("name"))
+    named = dim.withColumn("name", F.upper("name"))
+    batch = named.filter(symbol != "BUILDING").select("coin_id", "symbol", "name")
     return op.upsert_dim(target, batch)
 
 

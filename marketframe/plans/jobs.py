@@ -55,7 +55,15 @@ class _Run:
     run_ts: datetime
 
     @classmethod
-    def start(cls, spark, lake, job, as_of, run_ts, run_id) -> "_Run":
+    def start(
+        cls,
+        spark: SparkSession,
+        lake: Lake,
+        job: str,
+        as_of: date | str | None = None,
+        run_ts: datetime | str | None = None,
+        run_id: str | None = None,
+    ) -> "_Run":
         run_id = run_id or uuid.uuid4().hex
         return cls(spark, lake, job, run_id, as_date(as_of), as_timestamp(run_ts))
 
@@ -147,7 +155,7 @@ def enrich_descriptions(
     spark: SparkSession, landing: Landing, lake: Lake, run_id: str | None = None
 ) -> dict[str, int]:
     """On demand, outside the scheduled jobs: landed descriptions onto existing coins."""
-    run = _Run.start(spark, lake, "descriptions", None, None, run_id)
+    run = _Run.start(spark, lake, "descriptions", run_id=run_id)
     landed = read_descriptions(spark, landing.descriptions, landing.multi_line)
     cleaned = clean_descriptions(landed)
     path = write_curated(cleaned, run.path("texts"))

@@ -35,7 +35,7 @@ def read_market(
 def read_coin_details(
     spark: SparkSession, path: str, multi_line: bool = True, mode: str = "FAILFAST"
 ) -> DataFrame:
-    """Coin detail objects to one English description per coin, stripped; empty where there is none."""
+    """Coin detail objects to the English description of each coin, stripped, empty if absent."""
     details = _read_objects(spark, path, schemas.COIN_DETAILS, multi_line, mode)
     return details.select(
         F.col("id").alias("coin_id"), strip_text(F.col("description.en")).alias("description")

@@ -63,7 +63,8 @@ class RunLog:
         }
         row = [values[f.name].cast(f.dataType).alias(f.name) for f in schemas.RUN_LOG]
         try:
-            append_runs(self.spark.range(0, 1, numPartitions=1).select(*row), self.path, self.run_id)
+            one = self.spark.range(0, 1, numPartitions=1).select(*row)
+            append_runs(one, self.path, self.run_id)
         except Exception:
             logger.exception("run log row not written: stage=%s status=%s", stage, status)
 

@@ -1,6 +1,7 @@
 """Row-by-row comparison of a Spark result with a DuckDB result."""
 
 from collections import Counter
+from collections.abc import Sequence
 
 import duckdb
 from pyspark.sql import DataFrame
@@ -11,9 +12,11 @@ TABLES = (
 ).split()
 
 
-def open_tables(sf_dir: str) -> duckdb.DuckDBPyConnection:
+def open_tables(
+    sf_dir: str, names: Sequence[str] = TABLES
+) -> duckdb.DuckDBPyConnection:
     connection = duckdb.connect()
-    for name in TABLES:
+    for name in names:
         connection.execute(f"create view {name} as select * from '{sf_dir}/{name}.parquet'")
     return connection
 
