@@ -3,8 +3,12 @@
 from pyspark.sql import DataFrame, SparkSession
 
 from marketframe.llm.common import spill, table
+from marketframe.llm.decontaminate import decontaminate
+from marketframe.llm.mixing import mixed_documents
 from marketframe.llm.quality import keep_good
+from marketframe.llm.queries import tokenizer_path
 from marketframe.llm.simhash import one_per_group
+from marketframe.llm.token_files import tokenise
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -15,11 +19,27 @@ def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return one_per_group(docs)
 
 
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontaminate(docs, table(spark, sf_dir, "benchmark"))
+
+
+def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mixed_documents(docs)
+
+
+def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return tokenise(spark, docs, tokenizer_path())
+
+
 STAGES = [
     ("quality_rules", quality_rules),
     ("simhash_dedup", simhash_dedup),
+    ("benchmark_decontamination", benchmark_decontamination),
+    ("source_mixing", source_mixing),
+    ("token_output", token_output),
 ]
 
+# Fingerprints, latent retrieval and token ids are not expressible in SQL.
 ORACLE_SQL = None
 
 

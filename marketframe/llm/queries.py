@@ -6,8 +6,31 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketframe.llm.common import table
+from marketframe.llm.decontaminate import contaminated
+from marketframe.llm.mixing import mix
 from marketframe.llm.quality import score_quality
 from marketframe.llm.simhash import near_duplicates
+from marketframe.llm.token_files import tokenise
+
+
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op1_mixing_raked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang"))
+    return drawn.select(
+        "doc_id",
+        F.col("_m_source").alias("source"),
+        F.col("_m_lang").alias("lang"),
+        F.col("_m_topic").alias("topic"),
+        F.col("_m_tokens").alias("n_tokens"),
+        F.round("_m_weight", 6).alias("weight"),
+        F.round("_m_rate", 6).alias("probability"),
+        F.col("_m_kept").alias("kept"),
+    )
 
 
 def op5_quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,6 +38,15 @@ def op5_quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.drop("text", "lang")
 
 
+def op7_decontaminate_latent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return contaminated(docs, benchmark).drop("text_key")
+
+
+def op8_bitplane_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokenise(spark, table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 def op10_simhash_covering(spark: SparkSession, sf_dir: str) -> DataFrame:
     classed = near_duplicates(table(spark, sf_dir, "documents"))
     hexadecimal = F.lower(F.lpad(F.hex("fp"), 16, "0"))
@@ -24,7 +56,10 @@ def op10_simhash_covering(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
+        op1_mixing_raked,
         op5_quality_divergence,
+        op7_decontaminate_latent,
+        op8_bitplane_tokens,
         op10_simhash_covering,
     )
 }
