@@ -8,9 +8,15 @@ from pyspark.sql import functions as F
 from marketframe.llm.common import table
 from marketframe.llm.decontaminate import contaminated
 from marketframe.llm.mixing import mix
+from marketframe.llm.pii import KINDS as PII_KINDS
+from marketframe.llm.pii import digest_spans, find_personal_data
 from marketframe.llm.quality import score_quality
+from marketframe.llm.reshard import reshard
+from marketframe.llm.secret_scan import BASE_KINDS, find_secrets
+from marketframe.llm.secret_scan import KINDS as SECRET_KINDS
 from marketframe.llm.simhash import near_duplicates
 from marketframe.llm.token_files import tokenise
+from marketframe.llm.toxicity import score_toxicity
 
 
 def tokenizer_path() -> str:
@@ -33,11 +39,36 @@ def op1_mixing_raked(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_secret_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_secrets(table(spark, sf_dir, "documents"))
+    return digest_spans(found, SECRET_KINDS, BASE_KINDS)
+
+
+def op4_reshard_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From eight shards by source, uneven with its hot source, to eight of equal bytes."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    by_source = F.crc32(F.coalesce("source", F.lit("")).cast("binary")) % 8
+    return reshard(docs, by_source).select(
+        "doc_id",
+        F.col("_size").alias("size"),
+        F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"),
+        F.lit("bytes").alias("law"),
+        F.col("_shard").alias("shard"),
+        F.col("_slot").alias("slot"),
+        F.lit(None).cast("int").alias("grown_shard"),
+        by_source.cast("int").alias("old_shard"),
+    )
+
+
 def op5_quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = score_quality(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
     return scored.drop("text", "lang")
 
 
+def op6_toxicity_ftrl(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_decontaminate_latent(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     return contaminated(docs, benchmark).drop("text_key")
@@ -47,6 +78,11 @@ def op8_bitplane_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenise(spark, table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op9_pii_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_personal_data(table(spark, sf_dir, "documents"))
+    return digest_spans(found, PII_KINDS, PII_KINDS)
+
+
 def op10_simhash_covering(spark: SparkSession, sf_dir: str) -> DataFrame:
     classed = near_duplicates(table(spark, sf_dir, "documents"))
     hexadecimal = F.lower(F.lpad(F.hex("fp"), 16, "0"))
@@ -57,9 +93,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
         op1_mixing_raked,
+        op3_secret_cnn,
+        op4_reshard_flow,
         op5_quality_divergence,
+        op6_toxicity_ftrl,
         op7_decontaminate_latent,
         op8_bitplane_tokens,
+        op9_pii_weak_supervision,
         op10_simhash_covering,
     )
 }
