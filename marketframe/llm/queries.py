@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from marketframe.llm.common import table
 from marketframe.llm.decontaminate import contaminated
+from marketframe.llm.html_text import extract_main_text
 from marketframe.llm.mixing import mix
 from marketframe.llm.pii import KINDS as PII_KINDS
 from marketframe.llm.pii import digest_spans, find_personal_data
@@ -39,6 +40,10 @@ def op1_mixing_raked(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_html_mincut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_main_text(table(spark, sf_dir, "pages"))
+
+
 def op3_secret_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_secrets(table(spark, sf_dir, "documents"))
     return digest_spans(found, SECRET_KINDS, BASE_KINDS)
@@ -93,6 +98,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
         op1_mixing_raked,
+        op2_html_mincut,
         op3_secret_cnn,
         op4_reshard_flow,
         op5_quality_divergence,
