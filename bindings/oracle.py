@@ -1,6 +1,7 @@
 """Independent SQL for every query, for DuckDB over the same tables."""
 
-from marketframe.functions.expressions import WHITESPACE
+# White space that stripping takes off, spelled out here: what Python's str.strip() removes.
+WHITESPACE = "".join(chr(c) for c in (*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000))
 
 _SHARED = {
     "px_raw": """
@@ -77,12 +78,13 @@ _SHARED = {
         from px where price_date >= date '2024-01-16'""",
     "target": "select * from px where price_date < date '2024-01-20'",
     "gaps": """
-        select d.coin_id, g.expected_date
-        from dim d
-        cross join (select cast(unnest(generate_series((select min(price_date) from px),
-                                date '{last}', interval 1 day)) as date) as expected_date) g
-        left join px f on f.coin_id = d.coin_id and f.price_date = g.expected_date
-        where f.coin_id is null and d.coin_id in (select coin_id from px)""",
+        select coin_id, expected_date
+        from (select distinct coin_id from px where coin_id in (select coin_id from dim)) c,
+             (select cast(day as date) as expected_date
+              from range((select min(price_date) from px), date '{last}' + 1, interval 1 day)
+                   t(day)) days
+        except
+        select coin_id, price_date from px""",
     "health": """
         select stage, status, count(*) as total_runs, max(run_date) as last_run,
                cast(sum(rows_processed) as bigint) as total_rows_processed

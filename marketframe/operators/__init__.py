@@ -19,6 +19,7 @@ from marketframe.operators.constraints import (
     fact_rules,
     orphan_counts,
     orphan_rows,
+    split_orphans,
     run_log_rules,
     violations,
 )
@@ -47,6 +48,7 @@ from marketframe.operators.quality import (
     null_profile,
     quality_gate,
     quality_report,
+    rejected_rows,
     range_filter,
     report_dict,
     valid_rows,
@@ -89,7 +91,9 @@ __all__ = [
     "report_dict",
     "require_rows",
     "run_log_rules",
+    "rejected_rows",
     "select_backfill",
+    "split_orphans",
     "to_fact",
     "update_descriptions",
     "upsert_dim",

@@ -71,22 +71,21 @@ def clean_descriptions(descriptions: DataFrame) -> DataFrame:
 def select_backfill(
     history: DataFrame,
     coin_ids: Sequence[str] | DataFrame | str | None = None,
-    days: int | None = schemas.DEFAULT_BACKFILL_DAYS,
+    days: int | None = None,
     as_of: date | str | None = None,
 ) -> DataFrame:
-    """The coins and the last ``days`` days to backfill.
+    """The coins and the last ``days`` days to backfill: everything, unless a selection is named.
 
-    ``coin_ids`` is a list, a DataFrame with a ``coin_id`` column for selections of any size,
-    ``"all"``, or None for the default coins; ``days=None`` keeps the whole span. Rows without a
-    date fall out only where a span is given.
+    ``coin_ids`` is a list, a DataFrame with a ``coin_id`` column for selections of any size, or
+    None (or ``"all"``) for all coins; ``days=None`` keeps the whole span. Rows without a date fall
+    out only where a span is given.
     """
     if isinstance(coin_ids, DataFrame):
         selected = history.join(coin_ids.select("coin_id"), "coin_id", "left_semi")
-    elif coin_ids == "all":
+    elif coin_ids is None or coin_ids == "all":
         selected = history
     else:
-        wanted = schemas.DEFAULT_BACKFILL_COINS if coin_ids is None else coin_ids
-        selected = history.filter(F.col("coin_id").isin(*wanted))
+        selected = history.filter(F.col("coin_id").isin(*coin_ids))
     if days is None:
         return selected.select(*history.columns)
     start = as_date(as_of) - timedelta(days=days)

@@ -96,6 +96,15 @@ def orphan_counts(df: DataFrame, parent: DataFrame, key: str = "coin_id") -> Dat
     return counts.join(parent.select(key), key, "left_anti")
 
 
+def split_orphans(
+    df: DataFrame, parent: DataFrame, key: str = "coin_id"
+) -> tuple[DataFrame, DataFrame]:
+    """Rows whose key is in ``parent``, and the others with a ``reject_reason``."""
+    known = df.join(parent.select(key), key, "left_semi").select(*df.columns)
+    reason = F.lit(f"{key} not in parent").alias("reject_reason")
+    return known, orphan_rows(df, parent, key).select("*", reason)
+
+
 def assert_no_orphans(
     df: DataFrame, parent: DataFrame, table: str, key: str = "coin_id"
 ) -> DataFrame:

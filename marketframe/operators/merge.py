@@ -32,7 +32,8 @@ def upsert_fact(target: DataFrame, source: DataFrame, null_policy: str = "replac
     volume. ``keep`` lets a NULL leave the old value. Keys of ``source`` must be unique.
 
     The anti join sends only keys from the source side. Spark broadcasts them when their size is
-    known to be small, so a daily batch does not shuffle the table; a large one is shuffled once.
+    known to be small: then rows of the table are filtered where they are read. A large batch
+    shuffles the touched partitions once.
     """
     source = source.select(*target.columns)
     if null_policy == "replace":

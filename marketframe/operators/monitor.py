@@ -65,9 +65,10 @@ def missing_dates(
     last = F.lit(as_date(as_of))
     day = F.col("price_date")
     bit = F.call_function("shiftleft", F.lit(1), F.dayofmonth(day) - 1)
-    first = fact.agg(F.min(day)).scalar()
     coin_month = fact.groupBy("coin_id", month_of(day).alias("month"))
-    months = coin_month.agg(F.bit_or(bit).alias("present"))
+    months = coin_month.agg(F.bit_or(bit).alias("present"), F.min(day).alias("earliest"))
+    # Both columns are asked for, so that the subquery is the same aggregation and reuses its exchange.
+    first = months.agg(F.min(F.struct("earliest", "present"))["earliest"]).scalar()
     month = F.col("month")
     by_month = Window.partitionBy("coin_id").orderBy("month")
     before = F.when(F.lag(month).over(by_month).isNull(), first)

@@ -99,6 +99,38 @@ def gate_keys(
     )
 
 
+def rejected_rows(
+    df: DataFrame,
+    keys: Sequence[str] = schemas.FACT_KEYS,
+    critical: Sequence[str] = schemas.CRITICAL_COLUMNS,
+    order: Sequence[str] | None = None,
+    price: str = "price_usd",
+) -> DataFrame:
+    """Every row that the gate drops, with its ``reject_reason``: null, duplicate or range.
+
+    Equal rows are counted before the join with the survivors, one row per key; a key with many
+    rows is a skewed join that adaptive execution splits. Of rows equal to the survivor one is the
+    survivor and the others are duplicates.
+    """
+    order = _survivor_order(df, price) if order is None else order
+    rest = [name for name in df.columns if name not in keys]
+    complete = _all_present(critical)
+    unusable = df.filter(~complete).select("*", F.lit("null").alias("reject_reason"))
+    whole = df.filter(complete)
+    best = whole.groupBy(*keys).agg(F.max(newest_first(order, rest)).alias("best"))
+    rows = whole.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("copies"))
+    joined = rows.join(best, [*keys])
+    survivor = newest_first(order, rest).eqNullSafe(F.col("best"))
+    good = _positive(F.col(price), df.schema[price].dataType)
+    extra = (F.col("copies") - F.when(survivor, 1).otherwise(0)).cast("int")
+    reasons = F.concat(
+        F.array_repeat(F.lit("duplicate"), extra),
+        F.when(survivor & ~good, F.array(F.lit("range"))).otherwise(F.array().cast("array<string>")),
+    )
+    dropped = joined.select(*df.columns, F.explode(reasons).alias("reject_reason"))
+    return unusable.unionByName(dropped)
+
+
 def valid_rows(gated: DataFrame) -> DataFrame:
     """The rows that passed, in the columns of the gate's input."""
     counters = [n for n in gated.columns if n in (ROWS, COMPLETE, VALID) or n.startswith(NULLS)]

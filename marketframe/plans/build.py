@@ -81,11 +81,15 @@ def build_history(
     """Curated history at ``out``; raises when there was no point at all to flatten.
 
     ``selection`` holds arguments of ``select_backfill``; without it everything landed is taken.
+    The report's ``total_unselected`` counts the points that a selection leaves out.
     """
-    cleaned = clean_history(points, run_ts)
-    if selection is not None:
+    landed = cleaned = clean_history(points, run_ts)
+    named = selection is not None and any(selection.get(k) is not None for k in ("coin_ids", "days"))
+    if named:
         cleaned = select_backfill(cleaned, **selection)
     result = _gate(spark, cleaned, out, schemas.CURATED_HISTORY.names, fmt, on_fail)
-    if not result["quality_report"]["total_raw"]:
+    report = result["quality_report"]
+    report["total_unselected"] = landed.count() - report["total_raw"] if named else 0
+    if not report["total_raw"]:
         raise ValueError("no data found in price history")
     return result

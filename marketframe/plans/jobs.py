@@ -1,4 +1,8 @@
-"""Whole jobs: read what landed, transform, load, with one run-log row per stage."""
+"""Whole jobs: read what landed, transform, load, with one run-log row per stage.
+
+The extraction stage finds the landed files. They are parsed while they are transformed, so that a
+malformed document is a failure of the transformation.
+"""
 
 import uuid
 from collections.abc import Sequence
@@ -6,6 +10,7 @@ from dataclasses import dataclass
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from marketframe import schemas
 from marketframe.functions import as_date, as_timestamp
@@ -19,6 +24,7 @@ from marketframe.sources import (
     read_curated,
     read_descriptions,
     read_history,
+    read_malformed,
     read_market,
     read_runs,
     read_valid,
@@ -35,6 +41,7 @@ class Landing:
     history: str | None = None
     descriptions: str | None = None
     multi_line: bool = True
+    mode: str = "FAILFAST"  # PERMISSIVE sets malformed history and description texts aside
 
 
 @dataclass(frozen=True)
@@ -74,6 +81,20 @@ class _Run:
     def path(self, name: str) -> str:
         return self.lake.curated(self.job, self.run_id, name)
 
+    def orphans(self, mode: str) -> str | None:
+        """Where orphans are set aside; None where they fail the load."""
+        if mode not in ("fail", "quarantine"):
+            raise ValueError(f"orphans must be 'fail' or 'quarantine': {mode!r}")
+        return self.path("orphans") if mode == "quarantine" else None
+
+    def keep_malformed(self, landing: Landing, path: str, schema: T.DataType) -> int:
+        """Write the documents that a permissive read passed over; returns their number."""
+        if landing.mode == "FAILFAST":
+            return 0
+        found = read_malformed(self.spark, path, schema, landing.multi_line)
+        found.write.mode("overwrite").parquet(self.path("malformed"))
+        return self.spark.read.schema(found.schema).parquet(self.path("malformed")).count()
+
 
 def _load_dimension(run: _Run, path: str) -> None:
     load_dimension(read_curated(run.spark, path, schemas.CURATED_DIM), run.lake)
@@ -87,8 +108,12 @@ def run_daily(
     run_ts: datetime | str | None = None,
     run_id: str | None = None,
     on_fail: str = "warn",
+    orphans: str = "fail",
 ) -> RunResult:
-    """Coin list and market snapshot of ``as_of`` into the lake."""
+    """Coin list and market snapshot of ``as_of`` into the lake.
+
+    ``orphans="quarantine"`` sets prices of unknown coins aside in the run's curated folder.
+    """
     run = _Run.start(spark, lake, "daily", as_of, run_ts, run_id)
     with run.log.stage("extraction"):
         coins = read_coin_list(spark, landing.coins, landing.multi_line)
@@ -102,7 +127,8 @@ def run_daily(
     with run.log.stage("loading"):
         _load_dimension(run, dim_path)
         snapshot = read_valid(spark, built["output_dir"], schemas.CURATED_SNAPSHOT)
-        load_snapshot(snapshot, lake, unique=True)
+        load_snapshot(snapshot, lake, unique=True, quarantine=run.orphans(orphans))
+    _follow(spark, lake)
     return RunResult(run.run_id, built["quality_report"])
 
 
@@ -111,29 +137,38 @@ def run_backfill(
     landing: Landing,
     lake: Lake,
     coin_ids: Sequence[str] | DataFrame | str | None = None,
-    days: int | None = schemas.DEFAULT_BACKFILL_DAYS,
+    days: int | None = None,
     as_of: date | str | None = None,
     run_ts: datetime | str | None = None,
     run_id: str | None = None,
     on_fail: str = "warn",
     null_policy: str = "replace",
+    orphans: str = "fail",
 ) -> RunResult:
-    """Coin list first, then the price history of the selected coins and days."""
+    """Coin list first, then the price history: all that landed, or the coins and days named.
+
+    The report counts what a selection leaves out (``total_unselected``) and the texts that a
+    permissive landing could not parse (``malformed_documents``); these are kept, in ``malformed``
+    of the run's curated folder. ``orphans`` as in ``run_daily``.
+    """
     run = _Run.start(spark, lake, "backfill", as_of, run_ts, run_id)
     with run.log.stage("extraction"):
         coins = read_coin_list(spark, landing.coins, landing.multi_line)
-        points = read_history(spark, landing.history, landing.multi_line)
+        points = read_history(spark, landing.history, landing.multi_line, landing.mode)
     with run.log.stage("transformation") as stage:
         dim_path = build_dimension(spark, coins, run.path("dim_coins"), run.run_ts)
         selection = {"coin_ids": coin_ids, "days": days, "as_of": run.as_of}
         built = build_history(
             spark, points, run.path("price_history"), run.run_ts, selection, on_fail=on_fail
         )
+        malformed = run.keep_malformed(landing, landing.history, schemas.HISTORY)
+        built["quality_report"]["malformed_documents"] = malformed
         stage.rows_processed = built["quality_report"]["total_valid"]
     with run.log.stage("loading"):
         _load_dimension(run, dim_path)
         history = read_valid(spark, built["output_dir"], schemas.CURATED_HISTORY)
-        load_history(history, lake, null_policy, unique=True)
+        load_history(history, lake, null_policy, True, run.orphans(orphans))
+    _follow(spark, lake)
     return RunResult(run.run_id, built["quality_report"])
 
 
@@ -156,13 +191,38 @@ def enrich_descriptions(
 ) -> dict[str, int]:
     """On demand, outside the scheduled jobs: landed descriptions onto existing coins."""
     run = _Run.start(spark, lake, "descriptions", run_id=run_id)
-    landed = read_descriptions(spark, landing.descriptions, landing.multi_line)
+    landed = read_descriptions(spark, landing.descriptions, landing.multi_line, landing.mode)
     cleaned = clean_descriptions(landed)
     path = write_curated(cleaned, run.path("texts"))
-    return load_descriptions(read_curated(spark, path, cleaned.schema), lake, cleaned=True)
+    counts = load_descriptions(read_curated(spark, path, cleaned.schema), lake, cleaned=True)
+    if landing.mode != "FAILFAST":
+        counts["malformed_documents"] = run.keep_malformed(
+            landing, landing.descriptions, schemas.DESCRIPTIONS
+        )
+    _follow(spark, lake)
+    return counts
+
+
+# Sessions whose views are open, by the lake they show.
+_OPEN: dict[str, list[tuple[SparkSession, date | str | None]]] = {}
 
 
 def open_views(spark: SparkSession, lake: Lake, as_of: date | str | None = None) -> None:
-    """The lake's tables and monitoring views as SQL views of this session."""
+    """The lake's tables and monitoring views as SQL views of this session.
+
+    They show the newest commit of each table. Jobs of this process renew them when they end; after
+    a job elsewhere they still show the commit they were opened on, whose files stay, until they
+    are opened again.
+    """
     run_log = read_runs(spark, lake.run_log)
     register_views(spark, lake.read_dim(spark), lake.read_fact(spark), run_log, as_of)
+    others = [x for x in _OPEN.get(lake.root, []) if x[0] is not spark]
+    _OPEN[lake.root] = [*others, (spark, as_of)]
+
+
+def _follow(spark: SparkSession, lake: Lake) -> None:
+    """Renew the views that sessions of this application hold on the lake."""
+    context = spark.sparkContext.applicationId
+    for session, as_of in _OPEN.get(lake.root, []):
+        if session.sparkContext._jsc is not None and session.sparkContext.applicationId == context:
+            open_views(session, lake, as_of)

@@ -16,6 +16,7 @@ from marketframe.operators import (
     dim_rules,
     fact_rules,
     pad_history,
+    split_orphans,
     to_fact,
     update_descriptions,
     upsert_dim,
@@ -29,7 +30,7 @@ def load_dimension(curated: DataFrame, lake: Lake) -> None:
     bucket = bucket_of(F.col("coin_id"))
     touched = assert_rules(curated, dim_rules(), "dim_coins", bucket)
     merge_partitions(
-        lake.read_dim(curated.sparkSession),
+        lambda: lake.read_dim(curated.sparkSession),
         curated.withColumn(schemas.DIM_PARTITION, bucket),
         lake.dim,
         schemas.DIM_PARTITION,
@@ -38,12 +39,19 @@ def load_dimension(curated: DataFrame, lake: Lake) -> None:
     )
 
 
-def _load_fact(curated: DataFrame, lake: Lake, null_policy: str, unique: bool) -> None:
-    month = month_of(F.col("price_date"))
+def _load_fact(
+    curated: DataFrame, lake: Lake, null_policy: str, unique: bool, quarantine: str | None
+) -> None:
+    spark, month = curated.sparkSession, month_of(F.col("price_date"))
+    if quarantine is not None:
+        known, orphans = split_orphans(curated, lake.read_dim(spark))
+        orphans.write.mode("overwrite").parquet(quarantine)
+        curated = known
     touched = assert_rules(curated, fact_rules(), "fact_coin_prices", month)
-    assert_no_orphans(curated, lake.read_dim(curated.sparkSession), "fact_coin_prices")
+    if quarantine is None:
+        assert_no_orphans(curated, lake.read_dim(spark), "fact_coin_prices")
     merge_partitions(
-        lake.read_fact(curated.sparkSession),
+        lambda: lake.read_fact(spark),
         to_fact(curated, unique).withColumn(schemas.FACT_PARTITION, month),
         lake.fact,
         schemas.FACT_PARTITION,
@@ -53,17 +61,26 @@ def _load_fact(curated: DataFrame, lake: Lake, null_policy: str, unique: bool) -
 
 
 def load_snapshot(
-    curated: DataFrame, lake: Lake, null_policy: str = "replace", unique: bool = False
+    curated: DataFrame,
+    lake: Lake,
+    null_policy: str = "replace",
+    unique: bool = False,
+    quarantine: str | None = None,
 ) -> None:
-    """Load the snapshot; its coins must be in the dimension. ``unique`` as in ``to_fact``."""
-    _load_fact(curated, lake, null_policy, unique)
+    """Load the snapshot. ``unique`` as in ``to_fact``. A coin that is not in the dimension fails
+    the load, or its rows go to the folder ``quarantine`` where one is named."""
+    _load_fact(curated, lake, null_policy, unique, quarantine)
 
 
 def load_history(
-    curated: DataFrame, lake: Lake, null_policy: str = "replace", unique: bool = False
+    curated: DataFrame,
+    lake: Lake,
+    null_policy: str = "replace",
+    unique: bool = False,
+    quarantine: str | None = None,
 ) -> None:
     """Load price history; under ``replace`` it erases market cap and volume it meets."""
-    _load_fact(pad_history(curated), lake, null_policy, unique)
+    _load_fact(pad_history(curated), lake, null_policy, unique, quarantine)
 
 
 def load_descriptions(
@@ -78,5 +95,12 @@ def load_descriptions(
     texts = descriptions if cleaned else clean_descriptions(descriptions)
     dim = lake.read_dim(descriptions.sparkSession)
     counts = description_update_counts(dim, texts).first().asDict()
-    merge_partitions(dim, texts, lake.dim, schemas.DIM_PARTITION, touched, update_descriptions)
+    merge_partitions(
+        lambda: lake.read_dim(descriptions.sparkSession),
+        texts,
+        lake.dim,
+        schemas.DIM_PARTITION,
+        touched,
+        update_descriptions,
+    )
     return counts

@@ -15,9 +15,10 @@ COIN_LIST = _struct(id=T.StringType(), symbol=T.StringType(), name=T.StringType(
 
 MARKET = _struct(
     id=T.StringType(),
-    current_price=T.DoubleType(),
-    market_cap=T.DoubleType(),
-    total_volume=T.DoubleType(),
+    # Numbers may arrive as text; the clean step casts them.
+    current_price=T.StringType(),
+    market_cap=T.StringType(),
+    total_volume=T.StringType(),
 )
 
 HISTORY = T.MapType(
@@ -82,11 +83,9 @@ FACT_PARTITION = "price_month"
 DIM_PARTITION = "coin_bucket"
 DIM_BUCKETS = 16
 
-# Run-log domains, varchar lengths, default backfill selection, pass mark.
+# Run-log domains, varchar lengths, pass mark.
 STAGES = ("extraction", "transformation", "loading")
 STATUSES = ("running", "success", "failed")
 MAX_LENGTH = {"coin_id": 100, "symbol": 100, "name": 300, "stage": 50, "status": 20}
-DEFAULT_BACKFILL_COINS = ("bitcoin", "ethereum", "solana")
-DEFAULT_BACKFILL_DAYS = 365
 PASS_MARK = 80.0
 LOOKBACK_DAYS = 30

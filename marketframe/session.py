@@ -11,6 +11,8 @@ RECOMMENDED = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Size of a write's tasks, and so of its files, before compression.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
 }
 
 
@@ -27,8 +29,11 @@ def get_spark(app_name: str = "marketframe", **conf: str) -> SparkSession:
 
 
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
-    """A new folder below the shared one the cluster names; machine-local only if none is named."""
+    """A new folder below the one the cluster shares; a local session may do without."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that all of {master} shares")
         return tempfile.mkdtemp(prefix=f"marketframe-{purpose}-")
     return f"{shared.rstrip('/')}/marketframe/{purpose}-{uuid.uuid4().hex}"

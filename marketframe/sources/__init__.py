@@ -1,6 +1,8 @@
 from marketframe.sources.curated import read_curated, read_valid, write_curated
 from marketframe.sources.database import jdbc_properties, write_staging
 from marketframe.sources.landed import (
+    malformed_documents,
+    read_malformed,
     flatten_descriptions,
     flatten_history,
     read_coin_details,
@@ -9,17 +11,22 @@ from marketframe.sources.landed import (
     read_history,
     read_market,
 )
+from marketframe.sources.commits import ConcurrentMergeError, remove_old_files
 from marketframe.sources.lake import Lake, merge_partitions, read_table
 from marketframe.sources.runlog import RunLog, append_runs, read_runs
 
 __all__ = [
+    "malformed_documents",
+    "read_malformed",
     "Lake",
     "RunLog",
     "append_runs",
     "flatten_descriptions",
     "flatten_history",
     "jdbc_properties",
+    "ConcurrentMergeError",
     "merge_partitions",
+    "remove_old_files",
     "read_coin_details",
     "read_coin_list",
     "read_curated",

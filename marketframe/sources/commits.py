@@ -1,0 +1,101 @@
+"""Numbered commits of a table: which run's folder holds each partition.
+
+A commit is a small JSON file that appears whole or not at all, and whose number can be taken only
+once: on local folders by a hard link, elsewhere by a rename that does not replace (HDFS). Object
+stores without such a rename need a committer of their own in front.
+"""
+
+import json
+import os
+import re
+import uuid
+
+from pyspark.sql import SparkSession
+
+
+class ConcurrentMergeError(RuntimeError):
+    """A merge lost to other writers as often as it may."""
+
+
+def _hadoop(spark: SparkSession, path: str) -> tuple:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none if it is absent."""
+    system, place = _hadoop(spark, path)
+    if not system.exists(place):
+        return []
+    return sorted(status.getPath().getName() for status in system.listStatus(place))
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    system, place = _hadoop(spark, path)
+    system.delete(place, True)
+
+
+def _commits(spark: SparkSession, path: str) -> list[int]:
+    found = [re.fullmatch(r"([0-9]{12})\.json", n) for n in list_names(spark, f"{path}/_commits")]
+    return [int(m[1]) for m in found if m]
+
+
+def _commit_path(path: str, number: int) -> str:
+    return f"{path}/_commits/{number:012d}.json"
+
+
+def _read(spark: SparkSession, path: str, number: int) -> dict[str, str]:
+    system, place = _hadoop(spark, _commit_path(path, number))
+    stream = system.open(place)
+    try:
+        return json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
+
+
+def newest_commit(spark: SparkSession, path: str) -> tuple[int, dict[str, str]]:
+    """Number of the newest commit and its partition folders with their runs; 0 before the first."""
+    number = max(_commits(spark, path), default=0)
+    return number, _read(spark, path, number) if number else {}
+
+
+def publish_commit(spark: SparkSession, path: str, number: int, folders: dict[str, str]) -> bool:
+    """Whether commit ``number`` is now this one; False if another writer has taken the number."""
+    text = json.dumps(folders, sort_keys=True)
+    system, final = _hadoop(spark, _commit_path(path, number))
+    system.mkdirs(final.getParent())
+    draft = f"{path}/_commits/.{uuid.uuid4().hex}"
+    if system.getScheme() == "file":
+        draft, final = (_hadoop(spark, p)[1].toUri().getPath() for p in (draft, final.toString()))
+        with open(draft, "w") as out:
+            out.write(text)
+        try:
+            os.link(draft, final)
+        except FileExistsError:
+            return False
+        finally:
+            os.unlink(draft)
+        return True
+    place = _hadoop(spark, draft)[1]
+    stream = system.create(place, False)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    if system.rename(place, final):
+        return True
+    system.delete(place, False)
+    return False
+
+
+def remove_old_files(spark: SparkSession, path: str, keep: int = 10) -> list[str]:
+    """Drop commits but the newest ``keep``, and runs that none of these uses; returns the runs.
+
+    Not while a merge is under way: its files are in no commit yet.
+    """
+    numbers = sorted(_commits(spark, path))
+    used = {run for n in numbers[-keep:] for run in _read(spark, path, n).values()}
+    stale = [n for n in list_names(spark, f"{path}/data") if n.removeprefix("run=") not in used]
+    for number in numbers[:-keep]:
+        delete_folder(spark, _commit_path(path, number))
+    for name in stale:
+        delete_folder(spark, f"{path}/data/{name}")
+    return stale

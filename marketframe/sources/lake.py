@@ -1,15 +1,21 @@
-"""The durable tables: partitioned parquet, changed one partition at a time."""
+"""The durable tables: partitioned parquet, changed one partition at a time, by numbered commits."""
 
-from collections.abc import Callable, Iterator, Sequence
-from contextlib import contextmanager
+import uuid
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marketframe import schemas
+from marketframe.sources.commits import (
+    ConcurrentMergeError,
+    delete_folder,
+    list_names,
+    newest_commit,
+    publish_commit,
+)
 
 
 @dataclass(frozen=True)
@@ -45,60 +51,54 @@ def bucket_of(coin_id: Column) -> Column:
     return F.pmod(F.hash(coin_id), F.lit(schemas.DIM_BUCKETS))
 
 
+RUN_COLUMN = "run"
+
+
 def read_table(
     spark: SparkSession, path: str, schema: T.StructType, partition: str, kind: T.DataType
 ) -> DataFrame:
-    """A table with its partition column last; a table not written yet reads as empty."""
+    """A table as of its newest commit, its partition column last; one not written yet is empty."""
     full = T.StructType([*schema.fields, T.StructField(partition, kind)])
-    try:
-        return spark.read.schema(full).parquet(path)
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
+    _, folders = newest_commit(spark, path)
+    if not folders:
         empty = [F.lit(None).cast(field.dataType).alias(field.name) for field in full]
         return spark.range(1).select(*empty).limit(0)
-
-
-# Size of a table write's tasks, and so of its files, before compression. Rows arrive hashed by
-# partition: a smaller partition is one file, a larger one is split to this size.
-_FILE_SIZING = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m"}
-
-
-@contextmanager
-def _settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
-    before = {key: spark.conf.get(key) for key in values}
-    try:
-        for key, value in values.items():
-            spark.conf.set(key, value)
-        yield
-    finally:
-        for key, value in before.items():
-            spark.conf.set(key, value)
+    stored = T.StructType([*full.fields, T.StructField(RUN_COLUMN, T.StringType())])
+    paths = [f"{path}/data/{RUN_COLUMN}={run}/{folder}" for folder, run in sorted(folders.items())]
+    read = spark.read.schema(stored).option("basePath", f"{path}/data").parquet(*paths)
+    return read.select(*full.names)
 
 
 def merge_partitions(
-    target: DataFrame,
+    read: Callable[[], DataFrame],
     source: DataFrame,
     path: str,
     partition: str,
     touched: Sequence[object],
     merge: Callable[[DataFrame, DataFrame], DataFrame],
-    file_sizing: dict[str, str] | None = None,
+    attempts: int = 20,
 ) -> None:
     """Merge ``source`` into the table at ``path``, rewriting only the partitions in ``touched``.
 
-    ``touched`` lists the partition values of ``source``; it is bounded by the months of the
-    calendar or the number of buckets, not by rows. The rewrite is a dynamic partition overwrite:
-    new files are complete before old ones go, so reading the target in the same job is safe.
-    One writer per table at a time. ``file_sizing`` replaces the adaptive settings of the write.
+    ``read`` gives the table as it is now; ``touched`` lists the partition values of ``source``, and
+    is bounded by the calendar or the number of buckets, not by rows. New files go to a folder of
+    this run; a commit then says for every partition which run's folder holds it. Commits are
+    numbered, and a number is taken once: a writer that finds its number taken merges again from
+    the state it lost to. Files of earlier commits stay, so that a reader that began with them ends
+    with them; ``remove_old_files`` drops them later.
     """
-    merged = merge(target.filter(F.col(partition).isin(*touched)), source)
-    # Rebalancing by partition gives well-sized files and splits a partition that holds too much.
-    sized = merged.hint("rebalance", partition).sortWithinPartitions(partition, "coin_id")
-    with _settings(target.sparkSession, _FILE_SIZING if file_sizing is None else file_sizing):
-        (
-            sized.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(partition)
-            .parquet(path)
-        )
+    spark = source.sparkSession
+    for _ in range(attempts):
+        number, folders = newest_commit(spark, path)
+        merged = merge(read().filter(F.col(partition).isin(*touched)), source)
+        run = uuid.uuid4().hex
+        out = f"{path}/data/{RUN_COLUMN}={run}"
+        merged.write.partitionBy(partition).parquet(out)
+        written = [f for f in list_names(spark, out) if f.startswith(f"{partition}=")]
+        replaced = {f"{partition}={value}" for value in touched}
+        after = {f: r for f, r in folders.items() if f not in replaced}
+        after.update(dict.fromkeys(written, run))
+        if publish_commit(spark, path, number + 1, after):
+            return
+        delete_folder(spark, out)
+    raise ConcurrentMergeError(f"{path}: {attempts} merges lost to other writers")

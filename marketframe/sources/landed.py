@@ -2,7 +2,8 @@
 
 ``multi_line=True`` reads one document per file, as an API client saves it. Such a file is one
 task, so large landings should be JSON lines (``multi_line=False``) or one file per coin.
-A malformed document fails the read unless ``mode`` says otherwise.
+A malformed document fails the read unless ``mode`` says otherwise; ``read_malformed`` gives the
+documents that a permissive read passes over.
 """
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -74,6 +75,17 @@ def flatten_descriptions(
     )
 
 
+def malformed_documents(documents: DataFrame, schema: T.DataType, column: str = "value") -> DataFrame:
+    """The text documents that do not parse; under ``mode="PERMISSIVE"`` they give no rows."""
+    unread = _parse(column, schema, "PERMISSIVE").isNull()
+    return documents.filter(F.col(column).isNotNull() & unread)
+
+
+def read_malformed(spark: SparkSession, path: str, schema: T.DataType, multi_line: bool = True) -> DataFrame:
+    """Documents at ``path`` that a permissive read of history or descriptions passes over."""
+    return malformed_documents(spark.read.text(path, wholetext=multi_line), schema)
+
+
 def read_history(
     spark: SparkSession, path: str, multi_line: bool = True, mode: str = "FAILFAST"
 ) -> DataFrame:

@@ -6,6 +6,7 @@ from contextlib import contextmanager
 from dataclasses import dataclass, field
 from datetime import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,8 +23,14 @@ def append_runs(rows: DataFrame, path: str, namespace: str) -> None:
 
 
 def read_runs(spark: SparkSession, path: str) -> DataFrame:
+    """All rows of the log; a log not written yet reads as empty."""
     reader = spark.read.schema(schemas.RUN_LOG).option("recursiveFileLookup", True)
-    return reader.parquet(path)
+    try:
+        return reader.parquet(path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schemas.RUN_LOG)
 
 
 @dataclass

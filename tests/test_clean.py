@@ -52,11 +52,13 @@ def history(spark):
     )
 
 
-def test_default_selection_is_three_coins_and_a_year(history):
-    rows = select_backfill(history, as_of="2024-01-31").collect()
-    assert {(r.coin_id, str(r.price_date)) for r in rows} == {
-        ("bitcoin", "2024-01-31"), ("bitcoin", "2023-02-01"),
-    }
+def test_default_selection_is_everything(history):
+    assert select_backfill(history, as_of="2024-01-31").count() == 5
+
+
+def test_selection_by_days(history):
+    rows = select_backfill(history, ["bitcoin"], 365, "2024-01-31").collect()
+    assert {str(r.price_date) for r in rows} == {"2024-01-31", "2023-02-01"}
 
 
 def test_selection_by_list_frame_and_all(spark, history):

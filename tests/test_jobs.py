@@ -1,4 +1,5 @@
 import json
+from concurrent.futures import ThreadPoolExecutor
 from decimal import Decimal
 
 import pytest
@@ -210,3 +211,74 @@ def test_same_run_id_can_be_repeated(spark, landing, lake):
         result = run_daily(spark, files, lake, run_id="r1", **RUN)
     assert result.run_id == "r1"
     assert len(state(spark, lake)) == 1
+
+
+def test_backfill_takes_all_that_landed(spark, landing, lake):
+    old = {"doge": {"prices": [[JAN31 - 400 * 86_400_000, 3]]}}
+    coins = [*COINS, {"id": "doge", "symbol": "d", "name": "Doge"}]
+    files = landing(coins=coins, history={**HISTORY, **old})
+    report = run_backfill(spark, files, lake, **RUN).quality_report
+    assert (report["total_raw"], report["total_unselected"]) == (5, 0)
+    assert ("doge", "2022-12-27", Decimal("3"), None) in state(spark, lake)
+
+
+def test_a_selection_counts_what_it_leaves_out(spark, landing, lake):
+    report = run_backfill(spark, landing(), lake, coin_ids=["solana"], **RUN).quality_report
+    assert (report["total_raw"], report["total_unselected"]) == (1, 3)
+
+
+def test_two_jobs_at_once_both_count(spark, landing, tmp_path):
+    files = landing(market=[{**MARKET[0], "current_price": 9}])
+    for trial in range(3):
+        lake = Lake(str(tmp_path / f"lake{trial}"))
+        run_daily(spark, files, lake, "2024-01-29", "2024-01-29 06:00:00")
+        with ThreadPoolExecutor(2) as pool:
+            jobs = [pool.submit(run_daily, spark, files, lake, "2024-01-28", "2024-01-28 06:00:00"),
+                    pool.submit(run_backfill, spark, files, lake, **RUN)]
+            for job in jobs:
+                job.result()
+        days = [(coin, day) for coin, day, _, _ in state(spark, lake)]
+        assert days == [("bitcoin", "2024-01-28"), ("bitcoin", "2024-01-29"),
+                        ("bitcoin", "2024-01-30"), ("bitcoin", "2024-01-31"),
+                        ("solana", "2024-01-30")]
+
+
+def test_views_follow_the_jobs(spark, landing, lake):
+    open_views(spark, lake, "2024-01-31")
+    assert spark.sql("select * from v_pipeline_health").collect() == []
+    run_daily(spark, landing(), lake, **RUN)
+    assert spark.sql("select count(*) from fact_coin_prices").first()[0] == 1
+    run_backfill(spark, landing(), lake, **RUN)
+    assert spark.sql("select count(*) from fact_coin_prices").first()[0] == 3
+    assert spark.sql("select sum(total_runs) from v_pipeline_health").first()[0] == 6
+
+
+def test_orphans_can_be_set_aside(spark, landing, lake):
+    files = landing(coins=COINS[:1])
+    run_backfill(spark, files, lake, orphans="quarantine", run_id="q", **RUN)
+    assert {coin for coin, *_ in state(spark, lake)} == {"bitcoin"}
+    aside = spark.read.parquet(lake.curated("backfill", "q", "orphans")).collect()
+    assert [(r.coin_id, r.reject_reason) for r in aside] == [("solana", "coin_id not in parent")]
+    with pytest.raises(ValueError, match="orphans"):
+        run_backfill(spark, files, lake, orphans="drop", **RUN)
+
+
+def test_malformed_documents_are_counted(spark, landing, lake, tmp_path):
+    path = tmp_path / "lines.json"
+    path.write_text(json.dumps(HISTORY) + "\n{broken\n")
+    coins = tmp_path / "coin_lines.json"
+    coins.write_text("\n".join(map(json.dumps, COINS)))
+    files = Landing(coins=str(coins), history=str(path), multi_line=False, mode="PERMISSIVE")
+    report = run_backfill(spark, files, lake, run_id="m", **RUN).quality_report
+    assert report["malformed_documents"] == 1
+    kept = spark.read.parquet(lake.curated("backfill", "m", "malformed")).collect()
+    assert [r.value for r in kept] == ["{broken"]
+
+
+def test_a_small_batch_leaves_the_table_unshuffled(spark, landing, lake, plan):
+    from marketframe.operators import upsert_fact
+
+    run_backfill(spark, landing(), lake, **RUN)
+    table = lake.read_fact(spark)
+    text = plan(upsert_fact(table, table.filter("price_date = date '2024-01-30'")))
+    assert "BroadcastHashJoin" in text and "Exchange hashpartitioning" not in text

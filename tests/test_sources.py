@@ -5,8 +5,12 @@ from types import SimpleNamespace
 
 import pytest
 
+from pyspark.sql import types as T
+
 from marketframe import schemas, scratch_dir
+from marketframe.operators import clean_snapshot
 from marketframe.sources import (
+    ConcurrentMergeError,
     Lake,
     RunLog,
     append_runs,
@@ -18,12 +22,16 @@ from marketframe.sources import (
     read_curated,
     read_descriptions,
     read_history,
+    read_malformed,
     read_market,
     read_runs,
+    read_table,
     read_valid,
+    remove_old_files,
     write_curated,
     write_staging,
 )
+from marketframe.sources.commits import newest_commit
 
 
 @pytest.fixture
@@ -40,7 +48,7 @@ def test_arrays_of_objects(spark, land):
     coins = read_coin_list(spark, land("c", [{"id": "a", "symbol": "A", "name": "Aa", "more": 1}]))
     assert [tuple(r) for r in coins.collect()] == [("a", "A", "Aa")]
     market = read_market(spark, land("m", [{"id": "a", "current_price": 1, "market_cap": None}]))
-    assert [tuple(r) for r in market.collect()] == [("a", 1.0, None, None)]
+    assert [tuple(r) for r in market.collect()] == [("a", "1", None, None)]
     assert read_coin_list(spark, land("empty", [])).count() == 0
 
 
@@ -111,33 +119,63 @@ def test_read_valid_of_a_gate_without_survivors(spark, tmp_path):
     assert read_valid(spark, str(tmp_path / "g"), schema).collect() == []
 
 
-def test_only_touched_partitions_are_rewritten(spark, tmp_path):
-    path = str(tmp_path / "t")
-    before = spark.createDataFrame([("a", 1), ("b", 2)], "coin_id string, p int")
-    before.write.partitionBy("p").parquet(path)
-    kept = {f.name: f.stat().st_mtime_ns for f in (tmp_path / "t" / "p=2").glob("*.parquet")}
-    target = spark.read.schema("coin_id string, p int").parquet(path)
-    source = spark.createDataFrame([("c", 1), ("d", 3)], "coin_id string, p int")
-    merge_partitions(target, source, path, "p", [1, 3], lambda old, new: old.unionByName(new))
-    after = spark.read.schema("coin_id string, p int").parquet(path)
-    assert sorted(map(tuple, after.collect())) == [("a", 1), ("b", 2), ("c", 1), ("d", 3)]
-    assert kept == {f.name: f.stat().st_mtime_ns for f in (tmp_path / "t" / "p=2").glob("*.parquet")}
-
-
-def test_hot_partition_is_split_when_rewritten(spark, tmp_path):
-    """One partition with nearly all rows must not be written by one task."""
-    advisory = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
-    before = spark.conf.get(advisory)
-    source = spark.range(0, 200_000, numPartitions=16).selectExpr(
-        "uuid() coin_id", "if(id % 100 = 0, 2, 1) p"
-    )
-    path = str(tmp_path / "hot")
-    merge_partitions(
-        source.limit(0), source, path, "p", [1, 2], lambda old, new: new, {advisory: "64k"}
-    )
-    assert spark.conf.get(advisory) == before
-    assert len(list((tmp_path / "hot" / "p=1").glob("*.parquet"))) > 4
-    assert spark.read.parquet(path).count() == 200_000
+P = "coin_id string, p int"
+
+
+@pytest.fixture
+def small_table(spark, tmp_path):
+    """A table of one column, partitioned by p: its reader and a merge that appends."""
+    path, schema = str(tmp_path / "t"), T.StructType([T.StructField("coin_id", T.StringType())])
+
+    def read():
+        return read_table(spark, path, schema, "p", T.IntegerType())
+
+    def merge(rows, touched, how=lambda old, new: old.unionByName(new), attempts=20):
+        merge_partitions(read, spark.createDataFrame(rows, P), path, "p", touched, how, attempts)
+
+    return path, read, merge
+
+
+def test_only_touched_partitions_are_rewritten(spark, small_table):
+    path, read, merge = small_table
+    merge([("a", 1), ("b", 2)], [1, 2])
+    first = newest_commit(spark, path)[1]
+    held = read()
+    merge([("c", 1), ("d", 3)], [1, 3])
+    after = newest_commit(spark, path)[1]
+    assert sorted(map(tuple, read().collect())) == [("a", 1), ("b", 2), ("c", 1), ("d", 3)]
+    assert after["p=2"] == first["p=2"] and after["p=1"] != first["p=1"]
+    # A reader from before the merge still sees what it began with.
+    assert sorted(map(tuple, held.collect())) == [("a", 1), ("b", 2)]
+    merge([("x", 2)], [2], lambda old, new: old.limit(0))
+    assert sorted(map(tuple, read().collect())) == [("a", 1), ("c", 1), ("d", 3)]
+
+
+def test_a_lost_race_merges_again(spark, small_table):
+    path, read, merge = small_table
+    merge([("a", 1)], [1])
+    raced = []
+
+    def slow(old, new):
+        if not raced:
+            raced.append(True)
+            merge([("other", 1)], [1])
+        return old.unionByName(new)
+
+    merge([("mine", 1)], [1], slow)
+    assert sorted(r.coin_id for r in read().collect()) == ["a", "mine", "other"]
+    with pytest.raises(ConcurrentMergeError):
+        merge([("z", 1)], [1], lambda old, new: (merge([("w", 1)], [1]), old)[1], attempts=1)
+
+
+def test_old_files_go_when_asked(spark, small_table):
+    path, read, merge = small_table
+    for name in "abc":
+        merge([(name, 1)], [1])
+    assert len(remove_old_files(spark, path, keep=1)) == 2
+    assert sorted(r.coin_id for r in read().collect()) == ["a", "b", "c"]
+    merge([("d", 1)], [1])
+    assert read().count() == 4
 
 
 def test_absent_table_reads_as_empty(spark, tmp_path):
@@ -149,12 +187,49 @@ def test_absent_table_reads_as_empty(spark, tmp_path):
 
 def test_table_from_before_the_description_column(spark, tmp_path):
     lake = Lake(str(tmp_path))
-    spark.createDataFrame([("a", "A", "Aa", datetime(2024, 1, 1), 3)],
-                          "coin_id string, symbol string, name string, loaded_at timestamp_ntz, "
-                          "coin_bucket int").write.partitionBy("coin_bucket").parquet(lake.dim)
+    old = spark.createDataFrame([("a", "A", "Aa", datetime(2024, 1, 1), 3)],
+                                "coin_id string, symbol string, name string, "
+                                "loaded_at timestamp_ntz, coin_bucket int")
+    merge_partitions(lambda: lake.read_dim(spark), old, lake.dim, "coin_bucket", [3],
+                     lambda target, source: source)
     assert lake.read_dim(spark).first().description is None
 
 
+def test_absent_log_reads_as_empty(spark, tmp_path):
+    assert read_runs(spark, str(tmp_path / "none")).collect() == []
+
+
+def test_numbers_as_text_in_the_market_file(spark, tmp_path):
+    path = tmp_path / "m.json"
+    path.write_text('[{"id": "a", "current_price": "1.5", "market_cap": 2e3, "total_volume": "x"}]')
+    row = clean_snapshot(read_market(spark, str(path)), "2024-01-31").first()
+    assert (row.price_usd, row.market_cap_usd, row.volume_24h_usd) == (1.5, 2000.0, None)
+
+
+def test_malformed_documents_are_kept(spark, tmp_path):
+    path = tmp_path / "h"
+    path.write_text('{"a": {"prices": [[1, 2]]}}\n{"b": \n')
+    read = read_history(spark, str(path), multi_line=False, mode="PERMISSIVE")
+    assert read.count() == 1
+    kept = read_malformed(spark, str(path), schemas.HISTORY, multi_line=False)
+    assert [r.value for r in kept.collect()] == ['{"b": ']
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster():
+    class Conf:
+        def get(self, key, default):
+            return default
+
+    class Session:
+        conf = Conf()
+
+        class sparkContext:
+            master = "spark://host:7077"
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_dir(Session(), "x")
+
+
 def test_namespaces_differ_by_job_and_run():
     lake = Lake("/lake")
     paths = {lake.curated(j, r, "dim") for j in ("daily", "backfill") for r in ("1", "2")}
