@@ -12,6 +12,7 @@ import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -61,7 +62,8 @@ def _compact(items: Items):
         for batch in all_slices(batches, "text"):
             counts, at, terms = [], [], []
             for text in batch["text"].to_pylist():
-                found = np.array([known(w, -1) for w in terms_of(text)], dtype=np.int32)
+                words = terms_of(text)
+                found = np.fromiter(map(known, words, repeat(-1)), dtype=np.int32, count=len(words))
                 place = np.flatnonzero(found >= 0).astype(np.int32)
                 counts.append(len(found))
                 at.append(place)
@@ -101,18 +103,17 @@ class Passages:
         self.words = end - self.begin
         self.count = int(first[-1])
 
-    def times(self, weights: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(passage rows, their weighted sums of the rows of ``right``)."""
-        use = np.flatnonzero(weights[self.term] > 0)
+    def times(self, used: np.ndarray, scaled: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(passage rows, their sums of rows of ``scaled``) over the terms in ``used``."""
+        use = np.flatnonzero(used[self.term])
         row, term = self.row[use], self.term[use]
         starts = np.flatnonzero(np.diff(row, prepend=-1))
         if not len(starts):
-            return row, np.zeros((0, right.shape[1]), right.dtype)
-        parts = weights[term, None] * right[term]
-        return row[starts], np.add.reduceat(parts, starts, axis=0)
+            return row, np.zeros((0, scaled.shape[1]), scaled.dtype)
+        return row[starts], np.add.reduceat(scaled[term], starts, axis=0)
 
 
-def _pieces(batches: Iterator[pa.RecordBatch], most: int = 150_000) -> Iterator[pa.RecordBatch]:
+def _pieces(batches: Iterator[pa.RecordBatch], most: int = 40_000) -> Iterator[pa.RecordBatch]:
     """Parts of the batches with about ``most`` term occurrences, or one document."""
     for batch in batches:
         ends = np.cumsum(batch["terms"].value_lengths().to_numpy(zero_copy_only=False))
@@ -154,23 +155,23 @@ def gram_product(terms: DataFrame, weights: np.ndarray, right: np.ndarray, windo
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, seen = np.zeros((size, width)), False
-        narrow = right.astype(np.float32)
-        light = weights.astype(np.float32)
+        used, scaled = weights > 0, (weights[:, None] * right).astype(np.float32)
         for batch in _pieces(batches):
             passages = Passages(batch, window, 0)
-            row, latent = passages.times(light, narrow)
+            row, latent = passages.times(used, scaled)
             if not len(row):
                 continue
             seen = True
             place = np.zeros(passages.count, dtype=np.int64)
             place[row] = np.arange(len(row))
-            use = np.flatnonzero(light[passages.term] > 0)
+            use = np.flatnonzero(used[passages.term])
             order = use[np.argsort(passages.term[use], kind="stable")]
             term = passages.term[order]
             starts = np.flatnonzero(np.diff(term, prepend=-1))
-            parts = light[term, None] * latent[place[passages.row[order]]]
+            parts = latent[place[passages.row[order]]]
             total[term[starts]] += np.add.reduceat(parts, starts, axis=0)
         if seen:
+            total *= weights[:, None]
             some = np.flatnonzero(np.any(total != 0, axis=1))
             yield _rows(["term", *names], [some, *total[some].T])
 
@@ -233,16 +234,17 @@ def _search(items: Items, weights: np.ndarray, basis: np.ndarray, r: Retrieval):
         by_weight = sorted(mask, key=lambda t: (-weights[t], t))
         answers.append(set(by_weight[: math.ceil(len(mask) / 4)]))
     outside = float(np.median(weights[weights > 0])) ** 2 if np.any(weights > 0) else 1.0
-    light, narrow = weights.astype(np.float32), basis.astype(np.float32)
+    used, squares = weights > 0, weights**2
+    scaled = (weights[:, None] * basis).astype(np.float32)
 
     def candidates(batch: pa.RecordBatch) -> Iterator[tuple[int, int, int, float]]:
         """(document, item, first word of the passage, cosine)."""
         for shift in (0, r.window // 2):
             passages = Passages(batch, r.window, shift)
-            row, latent = passages.times(light, narrow)
+            row, latent = passages.times(used, scaled)
             if not len(row):
                 continue
-            mass = np.bincount(passages.row, light[passages.term] ** 2, passages.count)[row]
+            mass = np.bincount(passages.row, squares[passages.term], passages.count)[row]
             known = np.bincount(passages.row, minlength=passages.count)[row]
             share = np.sqrt(mass / (mass + outside * (passages.words[row] - known)))
             latent *= (share / np.maximum(np.linalg.norm(latent, axis=1), 1e-9))[:, None]
@@ -263,9 +265,11 @@ def _search(items: Items, weights: np.ndarray, basis: np.ndarray, r: Retrieval):
                     terms[d] = batch["terms"][d].values.to_numpy()
                 lo, hi = np.searchsorted(places[d], [begin - length, begin + r.window + length])
                 around = terms[d][lo:hi].tolist()
-                overlap = common_subsequence(masks[j], length, around) / length
                 answer = len(answers[j].intersection(around)) / len(answers[j])
-                if overlap >= r.overlap and answer >= r.answer:
+                if answer < r.answer:
+                    continue
+                overlap = common_subsequence(masks[j], length, around) / length
+                if overlap >= r.overlap:
                     best[d, j] = max(best.get((d, j), (0.0, 0.0, 0.0)), (overlap, answer, cosine))
             if best:
                 ids, keys = batch["doc_id"].to_pylist(), batch["text_key"].to_pylist()
