@@ -274,4 +274,8 @@ def score_quality(docs: DataFrame, rules: QualityRules = QualityRules()) -> Data
 def keep_good(docs: DataFrame, rules: QualityRules = QualityRules()) -> DataFrame:
     """The rows of ``docs`` that the rules keep, with their own columns only."""
     packed = docs.select(F.struct(*docs.columns).alias("_row"), "text", "lang")
-    return score_quality(packed, rules).filter("kept").select("_row.*")
+    # A deterministic verdict would be pushed down into the scan, and be worked out there from the
+    # text anew for every column it rests on; this one stays where it is and is worked out once.
+    verdict = F.col("kept") & (F.monotonically_increasing_id() >= 0)
+    scored = score_quality(packed, rules).withColumn("kept", verdict)
+    return scored.filter("kept").select("_row.*")
