@@ -3,7 +3,7 @@
 Passages are windows of words. Their TF-IDF vectors, over the benchmark's terms, span a latent space
 found by a randomised SVD whose products with the passage matrix are sums over partitions. Passages
 whose latent cosine with a benchmark item is high are candidates; a longest common subsequence
-between the item and the text around the passage, and a check that the item's rarest terms (its
+between the item and the text around the passage, and a check that the terms it ends on (its
 answer) are there, decide. Words outside the benchmark cannot match an item, so a document is reduced
 once to the positions of the benchmark's terms in it, and every later pass reads only that.
 """
@@ -29,7 +29,7 @@ class Retrieval:
     """``window``: words of a passage; ``rank``: latent dimensions; ``common``: terms in more than
     this share of passages get weight zero; ``cosine``: least latent cosine of a candidate;
     ``overlap``: least share of an item's words in the common subsequence; ``answer``: least share
-    of its rarest quarter of terms; ``items_at_once``: benchmark items per pass over the corpus."""
+    of its answer, the terms of its last quarter; ``items_at_once``: benchmark items per pass over the corpus."""
 
     window: int = 32
     rank: int = 48
@@ -231,8 +231,7 @@ def _search(items: Items, weights: np.ndarray, basis: np.ndarray, r: Retrieval):
         for i, term in enumerate(item.tolist()):
             mask[term] = mask.get(term, 0) | 1 << i
         masks.append(mask)
-        by_weight = sorted(mask, key=lambda t: (-weights[t], t))
-        answers.append(set(by_weight[: math.ceil(len(mask) / 4)]))
+        answers.append(set(item[-math.ceil(len(item) / 4) :].tolist()))
     outside = float(np.median(weights[weights > 0])) ** 2 if np.any(weights > 0) else 1.0
     used, squares = weights > 0, weights**2
     scaled = (weights[:, None] * basis).astype(np.float32)

@@ -39,7 +39,7 @@ class Mixture:
 def topic_of(text: Column) -> Column:
     """A topic by form: numbers, markup, lists or prose, from built-in counts."""
     size = F.greatest(F.length(text), F.lit(1))
-    digits = size - F.length(F.regexp_replace(text, "[0-9]+", ""))
+    digits = F.length(text) - F.length(F.regexp_replace(text, "[0-9]+", ""))
     lines = F.size(F.split(text, "\n"))
     return (
         F.when(digits * 50 > size, "numbers")
@@ -77,17 +77,21 @@ def _targets(cells: DataFrame, key: str, mixture: Mixture) -> DataFrame:
     # Each cell carries its part of the marginal's power, so that a plain sum adds a marginal once.
     cells = cells.withColumn("_all", tokens).withColumn("_fixed", fixed)
     part = F.pow(F.col("_all").cast("double"), F.lit(float(mixture.powers[key])))
-    part = part * F.col("tokens") / F.col("_all")
+    within = F.coalesce(F.try_divide(F.col("tokens"), F.col("_all")), F.lit(0.0))
+    part = part * within
     free = F.when(F.col("_fixed").isNull(), part).otherwise(0.0)
-    held = F.when(F.col("_fixed").isNotNull(), F.col("_fixed") * F.col("tokens") / F.col("_all")).otherwise(0.0)
+    held = F.when(F.col("_fixed").isNotNull(), F.col("_fixed") * within).otherwise(0.0)
     cells = cells.withColumn("_free", F.sum(free).over(everything))
     cells = cells.withColumn("_held", F.sum(held).over(everything))
     left = F.greatest(1 - F.col("_held"), F.lit(0.0))
     share = F.when(
         F.col("_fixed").isNull(),
-        left * F.pow(F.col("_all").cast("double"), F.lit(float(mixture.powers[key]))) / F.col("_free"),
+        F.try_divide(
+            left * F.pow(F.col("_all").cast("double"), F.lit(float(mixture.powers[key]))),
+            F.col("_free"),
+        ),
     ).otherwise(F.col("_fixed"))
-    return cells.withColumn(f"target_{key}", share).drop("_all", "_fixed", "_free", "_held")
+    return cells.withColumn(f"target_{key}", F.coalesce(share, F.lit(0.0))).drop("_all", "_fixed", "_free", "_held")
 
 
 def rake(cells: DataFrame, mixture: Mixture) -> DataFrame:
@@ -131,9 +135,10 @@ def calibrate(cells: DataFrame, mixture: Mixture) -> DataFrame:
     ahead = F.coalesce(F.sum("tokens").over(full), F.lit(0))
     behind = F.sum("weight").over(everything) - F.coalesce(F.sum("weight").over(full), F.lit(0.0))
     budget = F.lit(float(mixture.budget)) * F.sum("tokens").over(everything)
-    cells = cells.withColumn("_scale", (budget - ahead) / behind)
+    cells = cells.withColumn("_scale", F.try_divide(budget - ahead, behind))
     # With the cells ahead full, this one is not: the first such cell holds the scale.
-    fits = F.when((F.col("_scale") >= 0) & (F.col("_scale") * F.col("pull") <= 1), F.col("_scale"))
+    open_cell = (F.col("pull") > 0) & (F.col("_scale") >= 0) & (F.col("_scale") * F.col("pull") <= 1)
+    fits = F.when(open_cell, F.col("_scale"))
     scale = F.coalesce(F.max(fits).over(everything), F.lit(float("inf")))
     rate = F.when(F.col("pull") > 0, F.least(F.lit(1.0), scale * F.col("pull"))).otherwise(0.0)
     return cells.withColumn("rate", rate).drop("pull", "_scale")
@@ -151,14 +156,14 @@ def mix(docs: DataFrame, mixture: Mixture = Mixture(), keep: tuple[str, ...] = (
     ``weight`` is the cell's raked share of the mixture. Rows are drawn by a hash of doc_id (of the
     text where doc_id is null), so that repeated rows are drawn alike and a rerun draws the same.
     Null texts have no tokens and the probability of their cell; a cell without tokens has 0. An
-    empty table gives no rows. Columns starting with ``_m_`` are reserved.
+    empty table gives no rows. Columns starting with ``_m_`` or ``_r_`` are reserved.
     """
     keyed = with_mixing_keys(docs, *keep, F.coalesce(F.col("doc_id").cast("string"), F.col("text"), F.lit("")).alias("_m_key"))
     counted = keyed.groupBy(*[F.col(f"_m_{k}").alias(k) for k in KEYS]).agg(
         F.sum("_m_tokens").alias("tokens")
     )
     cells = spill(calibrate(rake(spill(counted, "cells"), mixture), mixture), "rates")
-    rates = cells.select(*[F.col(k).alias(f"_r_{k}") for k in KEYS], "weight", "rate")
+    rates = cells.select(*[F.col(k).alias(f"_r_{k}") for k in (*KEYS, "weight", "rate")])
     on = [F.col(f"_m_{k}") == F.col(f"_r_{k}") for k in KEYS]
     few = cells.count() <= mixture.small_cells
     joined = keyed.join(F.broadcast(rates) if few else rates, on)
@@ -166,9 +171,9 @@ def mix(docs: DataFrame, mixture: Mixture = Mixture(), keep: tuple[str, ...] = (
         *[F.col(c) for c in keep],
         *[F.col(f"_m_{k}").alias(f"_m_{k}") for k in KEYS],
         "_m_tokens",
-        F.col("weight").alias("_m_weight"),
-        F.col("rate").alias("_m_rate"),
-        (uniform(F.col("_m_key"), mixture.seed) < F.col("rate")).alias("_m_kept"),
+        F.col("_r_weight").alias("_m_weight"),
+        F.col("_r_rate").alias("_m_rate"),
+        (uniform(F.col("_m_key"), mixture.seed) < F.col("_r_rate")).alias("_m_kept"),
     )
 
 

@@ -188,7 +188,7 @@ def _word_distance(df: DataFrame) -> DataFrame:
     )
     df = df.withColumn("_q_runs", starts)
     runs = F.col("_q_runs")
-    shares = F.col("common_shares")
+    shares = F.col("_q_common_shares")
     present = F.transform(
         runs,
         lambda r, k: F.struct(
@@ -225,7 +225,10 @@ def score_quality(docs: DataFrame, rules: QualityRules = QualityRules()) -> Data
     names = [c for c in docs.columns if c.lower() not in rules_out]
     references = spill(language_references(docs, rules), "references")
     small = references.count() <= rules.max_languages  # of at most 1 / common_share words each
-    references = references.withColumnRenamed("lang", "_q_ref")
+    references = references.select(
+        F.col("lang").alias("_q_ref"),
+        *[F.col(c).alias(f"_q_{c}") for c in ("class_shares", "place", "common_shares")],
+    )
     text = F.col("_q_text")
     df = docs.select(*names, F.coalesce("text", F.lit("")).alias("_q_text"))
     df = df.withColumn("_q_words", words_of(text))
@@ -247,14 +250,14 @@ def score_quality(docs: DataFrame, rules: QualityRules = QualityRules()) -> Data
     )
     on = F.coalesce(F.col("lang"), F.lit("")) == F.col("_q_ref")
     df = df.join(F.broadcast(references) if small else references, on, "left")
-    df = df.withColumn("_q_places", F.transform("_q_cells", lambda c: F.get("place", c)))
+    df = df.withColumn("_q_places", F.transform("_q_cells", lambda c: F.get("_q_place", c)))
     df = df.withColumn("_q_hits", F.sort_array(F.filter("_q_places", lambda x: x > 0)))
-    df = df.drop("_q_cells", "_q_places", "place")
+    df = df.drop("_q_cells", "_q_places", "_q_place")
     df = _word_distance(df)
     chars = sum((F.col(c) for c in _class_names("_q_c")), F.lit(0))
     parts = F.array(
         *[
-            _entropy_gap(F.get("class_shares", F.lit(i)), F.col(c) / chars)
+            _entropy_gap(F.get("_q_class_shares", F.lit(i)), F.col(c) / chars)
             for i, c in enumerate(_class_names("_q_c"))
         ]
     )

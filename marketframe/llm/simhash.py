@@ -166,16 +166,16 @@ def near_duplicates(
     linked = rooted.join(smallest, "root").select(F.col("fp").alias("linked_fp"), "smallest")
     classes = spill(
         first.join(linked, F.col("fp") == F.col("linked_fp"), "left").select(
-            F.col("fp").alias("class_fp"),
+            F.col("fp").alias("_s_fp"),
             F.when(F.col("linked_fp").isNull(), F.col("first")).otherwise(F.col("smallest")).alias(
-                "class_id"
+                "_s_id"
             ),
         ),
         "classes",
     )
-    joined = printed.join(classes, printed[fp] == classes["class_fp"])
+    joined = printed.join(classes, printed[fp] == classes["_s_fp"])
     return joined.select(
-        *[F.col(c) for c in keep], F.col(fp), F.col("class_id").alias(component)
+        *[F.col(c) for c in keep], F.col(fp), F.col("_s_id").alias(component)
     )
 
 
