@@ -102,7 +102,7 @@ def epoch_ms(ts: Column) -> Column:
     return minutes * 60_000 + F.floor(F.extract(F.lit("SECOND"), ts) * 1000)
 
 
-def history_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+def history_documents(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
     """JSON history texts, one per event: two points for its coin and a coin without prices."""
     ms = epoch_ms(F.col("ts")).cast("double")
     coin = F.concat(F.lit("coin_"), F.col("user_id").cast("string"))
@@ -114,7 +114,7 @@ def history_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(coin, F.lit("_idle")),
         F.struct(F.when(F.lit(False), points).alias("prices")),
     )
-    return table(spark, sf_dir, "events").select(F.to_json(series).alias("value"))
+    return table(spark, sf_dir, "events").select(*more, F.to_json(series).alias("value"))
 
 
 def descriptions(spark: SparkSession, sf_dir: str) -> DataFrame:

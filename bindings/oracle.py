@@ -340,4 +340,108 @@ ORACLES: dict[str, str] = {
            from texts""",
     ),
     "run_log_append": _with(["run_log"], "select * from run_log"),
+    "price_anomalies_lookback": _with(
+        ["anomalies"], "select * from anomalies"
+    ).replace("date '2024-01-31' - interval 30 day", "date '2024-02-10' - interval 30 day"),
+    "market_text_numbers": _with(
+        ["px_raw"],
+        f"""select coin_id, cast(price_usd as double) as price_usd,
+                   case when market_cap_usd <= 100000 then cast(market_cap_usd as double) end
+                       as market_cap_usd,
+                   cast(volume_24h_usd as double) as volume_24h_usd,
+                   date '2024-01-31' as price_date, {_RUN} as processed_at from px_raw""",
+    ),
+    "history_malformed": """
+        select cast(2 * count(*) filter (where event_id % 7 <> 0) as bigint) as points,
+               cast(sum(case when event_id % 7 <> 0 then 2 * (epoch_us(ts) // 1000) + 1 end)
+                    as bigint) as sum_ms,
+               count(*) filter (where event_id % 7 = 0) as malformed
+        from events""",
+    "rejected_rows": _with(
+        ["px_raw"],
+        f"""select {_PRICES}, case when not usable then 'null' when rn > 1 then 'duplicate'
+                                   else 'range' end as reject_reason
+            from (select *, coin_id is not null and price_date is not null
+                            and price_usd is not null as usable,
+                         row_number() over (partition by coin_id, price_date,
+                                                coin_id is not null and price_date is not null
+                                                and price_usd is not null
+                                            order by processed_at desc, price_usd desc,
+                                                     market_cap_usd desc) as rn
+                  from px_raw) r
+            where not usable or rn > 1 or price_usd <= 0""",
+    ),
+    "orphan_quarantine": _with(
+        ["px", "dim"],
+        f"""select {_PRICES},
+                   case when coin_id in (select coin_id from dim where symbol <> 'BUILDING')
+                        then '' else 'coin_id not in parent' end as reject_reason from px""",
+    ),
+    "dim_violations": _with(
+        ["dim"],
+        """, dirty as (
+               select case when symbol <> 'BUILDING' then coin_id end as coin_id,
+                      case when symbol = 'MACHINERY' then repeat(symbol, 12) else symbol end
+                          as symbol,
+                      case when symbol <> 'FURNITURE'
+                           then repeat(name, cast(20 * (length(name) % 5) as int)) end as name
+               from dim)
+           select 'coin_id is null' as rule, * from dirty where coin_id is null
+           union all select 'symbol is null', * from dirty where symbol is null
+           union all select 'name is null', * from dirty where name is null
+           union all select 'coin_id is too long', * from dirty where length(coin_id) > 100
+           union all select 'symbol is too long', * from dirty where length(symbol) > 100
+           union all select 'name is too long', * from dirty where length(name) > 300""",
+    ),
+    "fact_violations": _with(
+        ["px_raw"],
+        f"""select 'coin_id is null' as rule, {_PRICES} from px_raw where coin_id is null
+            union all select 'price_date is null', {_PRICES} from px_raw where price_date is null
+            union all select 'coin_id is too long', {_PRICES} from px_raw
+                where length(coin_id) > 100""",
+    ),
+    "daily_job_dimension": _with(
+        ["dim"],
+        f"""select coin_id, symbol, name, {_RUN} as loaded_at,
+                   cast(null as varchar) as description from dim""",
+    ),
+    "backfill_job_defaults": _with(
+        ["points"],
+        f"""select {_PRICES}
+            from (select coin_id, price_date, cast(price_usd as decimal(20,8)) as price_usd,
+                         cast(null as decimal(20,2)) as market_cap_usd,
+                         cast(null as decimal(20,2)) as volume_24h_usd, {_RUN} as processed_at
+                  from (select *, row_number() over (partition by coin_id, price_date
+                                                     order by timestamp_ms desc,
+                                                              price_usd desc) as rn
+                        from (select *, cast(make_timestamp(timestamp_ms * 1000) as date)
+                                            as price_date from points) p) r
+                  where rn = 1 and price_usd > 0) h""",
+    ),
+    "enrich_job": _with(
+        ["dim", "clean_texts"],
+        """select d.coin_id, t.description
+           from dim d left join clean_texts t on t.coin_id = d.coin_id""",
+    ),
+    "job_run_log": _with(
+        ["px_raw"],
+        f"""select * from (values ('extraction', 1), ('transformation', 2), ('loading', 3))
+                          s(stage, k),
+                 lateral (select 'success' as status,
+                                 case when k = 2 then (select count(*) from ({_DAILY}) d) end
+                                     as rows_processed,
+                                 cast(null as varchar) as error_message) v""",
+    ).replace("select * from (values", "select stage, status, rows_processed, error_message from (values"),
+    "views_after_second_run": _with(
+        ["px_raw", "points"],
+        f"""select (select count(*) from (
+                       select coin_id, cast(make_timestamp(timestamp_ms * 1000) as date) as day
+                       from (select *, row_number() over (
+                                 partition by coin_id, cast(make_timestamp(timestamp_ms * 1000) as date)
+                                 order by timestamp_ms desc, price_usd desc) as rn from points) p
+                       where rn = 1 and price_usd > 0
+                       union
+                       select coin_id, date '2024-01-31' from ({_DAILY}) d) u) as prices,
+                   cast(6 as bigint) as runs""",
+    ),
 }

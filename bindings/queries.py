@@ -4,6 +4,7 @@ Decimals leave as doubles (or text where every digit counts), so that two engine
 """
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,19 +15,22 @@ from bindings.fixtures import AS_OF, RUN_TS
 from marketframe import Lake, scratch_dir
 from marketframe import operators as op
 from marketframe.functions import epoch_ms_to_date, stable_key, store_cast
-from marketframe.plans import Landing, run_backfill, run_daily
-from marketframe.schemas import AMOUNT_TYPE, FACT_KEYS, PRICE_TYPE
+from marketframe.plans import Landing, enrich_descriptions, open_views, run_backfill, run_daily
+from marketframe.schemas import AMOUNT_TYPE, FACT_KEYS, HISTORY, PRICE_TYPE
 from marketframe.sources import (
     append_runs,
     flatten_descriptions,
     flatten_history,
+    malformed_documents,
     read_coin_details,
     read_curated,
+    read_market,
     read_runs,
     write_curated,
 )
 
 MISSING_AS_OF = "2024-02-01"
+LATER = "2024-02-10"
 
 
 def _comparable(df: DataFrame) -> DataFrame:
@@ -291,6 +295,104 @@ def run_log_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_runs(spark, path)
 
 
+def price_anomalies_lookback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A later day, so that the look-back leaves rows out."""
+    return _comparable(op.price_anomalies(fx.px(spark, sf_dir), LATER))
+
+
+def market_text_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A landed snapshot with numbers as text, some unusable, through its reader."""
+    path, text = f"{scratch_dir(spark, 'market')}/landed", F.col("market_cap").cast("string")
+    usable = F.col("market_cap") <= 100_000
+    raw = fx.market(spark, sf_dir).withColumn("market_cap", F.when(usable, text).otherwise("n/a"))
+    raw.write.json(path)
+    return op.clean_snapshot(read_market(spark, path, multi_line=False), AS_OF, RUN_TS)
+
+
+def history_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every seventh document cut short: rows of the others, and how many were set aside."""
+    event, value = F.col("event_id"), F.col("value")
+    whole = fx.history_documents(spark, sf_dir, "event_id")
+    cut = F.when(event % 7 == 0, F.substring(value, 1, 12)).otherwise(value)
+    documents = whole.select(cut.alias("value"))
+    rows = flatten_history(documents, mode="PERMISSIVE").groupBy().agg(
+        F.count(F.lit(1)).alias("points"), F.sum("timestamp_ms").alias("sum_ms")
+    )
+    aside = malformed_documents(documents, HISTORY).groupBy().agg(F.count(F.lit(1)).alias("malformed"))
+    return rows.withColumn("malformed", aside.scalar())
+
+
+def rejected_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _comparable(op.rejected_rows(fx.px_raw(spark, sf_dir), order=["processed_at"]))
+
+
+def orphan_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is loaded and what is set aside, told apart by the reason."""
+    known, orphans = op.split_orphans(fx.px(spark, sf_dir), _partial_dim(spark, sf_dir))
+    return _comparable(known.withColumn("reject_reason", F.lit("")).unionByName(orphans))
+
+
+def _dirty_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key = F.length("name") % 5
+    return fx.dim(spark, sf_dir).select(
+        F.when(F.col("symbol") == "BUILDING", None).otherwise(F.col("coin_id")).alias("coin_id"),
+        F.when(F.col("symbol") == "MACHINERY", F.repeat("symbol", 12)).otherwise(F.col("symbol")).alias("symbol"),
+        F.when(F.col("symbol") == "FURNITURE", None).otherwise(F.repeat("name", 20 * key)).alias("name"),
+        F.lit(RUN_TS).cast("timestamp_ntz").alias("loaded_at"),
+    )
+
+
+def dim_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op.violations(_dirty_dim(spark, sf_dir), op.dim_rules()).drop("loaded_at")
+
+
+def fact_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _comparable(op.violations(fx.px_raw(spark, sf_dir), op.fact_rules()))
+
+
+def _daily_lake(spark: SparkSession, sf_dir: str, purpose: str) -> tuple[str, Landing, Lake]:
+    root = f"{scratch_dir(spark, purpose)}/run"
+    landing, lake = _landing(spark, sf_dir, f"{root}/landing", True), Lake(f"{root}/lake")
+    run_daily(spark, landing, lake, AS_OF, RUN_TS)
+    return root, landing, lake
+
+
+def daily_job_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dimension that a daily run leaves."""
+    return _daily_lake(spark, sf_dir, "dimension")[2].read_dim(spark).drop("coin_bucket")
+
+
+def backfill_job_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A backfill without a selection, two years after the data: all that landed is stored."""
+    root = f"{scratch_dir(spark, 'defaults')}/run"
+    landing, lake = _landing(spark, sf_dir, f"{root}/landing", True), Lake(f"{root}/lake")
+    run_backfill(spark, landing, lake, as_of="2026-01-31", run_ts=RUN_TS)
+    return _comparable(lake.read_fact(spark)).drop("price_month")
+
+
+def enrich_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dimension after a daily run and landed descriptions."""
+    root, landing, lake = _daily_lake(spark, sf_dir, "enrich")
+    fx.description_documents(spark, sf_dir).write.text(f"{root}/landing/descriptions")
+    enrich_descriptions(spark, replace(landing, descriptions=f"{root}/landing/descriptions"), lake)
+    return lake.read_dim(spark).select("coin_id", "description")
+
+
+def job_run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a daily run writes into the log, without its clock."""
+    return read_runs(spark, _daily_lake(spark, sf_dir, "log")[2].run_log).drop("run_date")
+
+
+def views_after_second_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Views opened before a backfill, asked after it."""
+    _, landing, lake = _daily_lake(spark, sf_dir, "views")
+    open_views(spark, lake, AS_OF)
+    run_backfill(spark, landing, lake, as_of=AS_OF, run_ts=RUN_TS)
+    prices = spark.table("fact_coin_prices").groupBy().agg(F.count(F.lit(1)).alias("prices"))
+    runs = spark.table("v_pipeline_health").groupBy().agg(F.sum("total_runs").alias("runs"))
+    return prices.withColumn("runs", runs.scalar())
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -335,5 +437,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         curated_roundtrip,
         curated_csv_roundtrip,
         run_log_append,
+        price_anomalies_lookback,
+        market_text_numbers,
+        history_malformed,
+        rejected_rows,
+        orphan_quarantine,
+        dim_violations,
+        fact_violations,
+        daily_job_dimension,
+        backfill_job_defaults,
+        enrich_job,
+        job_run_log,
+        views_after_second_run,
     )
 }

@@ -5,6 +5,8 @@ from compare import differences, open_tables
 from conftest import TESTDATA
 
 import __spark_entry__ as suite
+from bindings.oracle import ORACLES
+from bindings.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -12,14 +14,14 @@ def tables():
     return open_tables(TESTDATA)
 
 
-@pytest.mark.parametrize("name", list(suite.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_matches_sql(spark, tables, name):
     result = suite.queries()[name](spark, TESTDATA)
     assert differences(result, tables, suite.oracle_sql()[name]) == []
 
 
 def test_every_query_has_an_oracle():
-    assert set(suite.queries()) == set(suite.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
 def test_entry_gives_rows(spark):
@@ -35,3 +37,12 @@ def test_session_time_zone_does_not_matter(spark, tables, name):
         assert differences(result, tables, suite.oracle_sql()[name]) == []
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_results_that_are_lists_come_in_order(spark):
+    moves = [(r.price_date, r.coin_id) for r in suite.queries()["large_moves"](spark, TESTDATA).collect()]
+    assert moves == sorted(moves, key=lambda m: (-m[0].toordinal(), m[1])) and len(moves) > 1
+    gaps = [(r.expected_date, r.coin_id) for r in suite.queries()["recent_gaps_top20"](spark, TESTDATA).collect()]
+    assert gaps == sorted(gaps, key=lambda m: (-m[0].toordinal(), m[1]))
+    health = [(r.stage, r.status) for r in suite.queries()["pipeline_health"](spark, TESTDATA).collect()]
+    assert health == sorted(health)

@@ -49,3 +49,11 @@ def test_look_back_and_columns_reach_the_scan(planned):
 
 def test_top_k_does_not_sort_everything(planned):
     assert "TakeOrderedAndProject" in planned("recent_gaps_top20")
+
+
+def test_missing_dates_aggregate_the_prices_once(spark):
+    """The first date of the table comes from the same exchange as the months."""
+    df = suite.queries()["missing_dates"](spark, TESTDATA)
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "ReusedExchange" in final or final.count("Scan parquet") <= 3
