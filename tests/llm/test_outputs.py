@@ -1,0 +1,127 @@
+"""Token files and resharding."""
+
+import io
+import itertools
+import random
+import zlib
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from marketframe.llm import token_files as tf
+from marketframe.llm.queries import tokenizer_path
+from marketframe.llm.reshard import capacities, fill, min_cost_flow, reshard
+
+DOCS = "doc_id long, text string"
+ODD = ["", None, " ", "a  b\n\n c\t", "it's <|endoftext|> x<|endoftext|>", "a\x1cb \x1d c", "é\xa0ß x",
+       "tab\tand\r\nline ", "\n\nlead", "!! ?? ... --", "日本語 のテキスト", "x" * 3000, "trailing   "]
+
+
+def test_pieces_encode_like_whole_texts():
+    from tokenizers import Tokenizer
+
+    whole, encode = Tokenizer.from_file(tokenizer_path()), tf.encoder(tokenizer_path())
+    rng = random.Random(1)
+    mixed = ["".join(rng.choice(["a", "B", "7", " ", "  ", "\n", "\t", "'s", ".", "é", "\x85", "\x1f", "　"])
+                     for _ in range(rng.randint(0, 40))) for _ in range(800)]
+    texts = [t or "" for t in ODD] + mixed
+    for text, ids in zip(texts, encode(texts), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids, text
+
+
+@pytest.mark.parametrize("planes", [4, 32])
+def test_files_give_back_their_ids(planes, tmp_path):
+    rng = np.random.default_rng(1)
+    docs = [(i if i % 7 else None, rng.integers(0, 1 << 32, rng.integers(0, 300), dtype=np.uint64).astype("<u4"))
+            for i in range(60)]
+    writer = tf.FileWriter(open(tmp_path / "f", "wb"), planes, block_ids=128)
+    for doc_id, ids in docs:
+        writer.add(doc_id, ids.tobytes())
+    assert writer.close() == (60, sum(len(x) for _, x in docs))
+    with pa.OSFile(str(tmp_path / "f")) as source:
+        reader = tf.FileReader(source)
+        back = [(d, ids.tolist()) for d, _, ids in reader.documents()]
+        everything = np.concatenate([x for _, x in docs])
+        assert back == [(d, x.tolist()) for d, x in docs]
+        assert reader.block(3).tolist() == everything[384:512].tolist()  # one block by itself
+    cut = (tmp_path / "f").read_bytes()[:-1]
+    with pytest.raises(Exception):
+        tf.FileReader(pa.BufferReader(cut))
+    assert io.BytesIO(cut).read(4) == tf.MAGIC
+
+
+def test_tokens_against_the_plain_version(spark, monkeypatch):
+    from tokenizers import Tokenizer
+
+    rows = [(i * 37 % 101, t) for i, t in enumerate(ODD * 3)] + [(5000, "same"), (5000, "same"), (None, "no id")]
+    docs = spark.createDataFrame(rows, DOCS).select("*", F.lit(1).alias("start"), F.lit(2).alias("ids"))
+    found = sorted(tf.tokenise(spark, docs.repartition(5), tokenizer_path()).collect(), key=lambda r: r.start)
+    whole, at = Tokenizer.from_file(tokenizer_path()), 0
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or ""))
+    for row, (doc_id, text) in zip(found, order, strict=True):
+        ids = whole.encode(text or "", add_special_tokens=False).ids + [0]
+        crc = zlib.crc32(np.array(ids, dtype="<u4").tobytes())
+        assert (row.doc_id, row.start, row.n_tokens, row.ids_crc32) == (doc_id, at, len(ids), crc)
+        at += len(ids)
+    assert tf.tokenise(spark, docs.limit(0), tokenizer_path()).collect() == []
+
+
+def test_flow_is_cheapest():
+    rng = random.Random(3)
+    for _ in range(40):
+        n, m, total = rng.randint(1, 3), rng.randint(1, 3), rng.randint(0, 5)
+        supply, demand = (capacities(total, [rng.random() + 0.01 for _ in range(k)]) for k in (n, m))
+        cost = [[rng.randint(0, 4) for _ in range(m)] for _ in range(n)]
+        flow = min_cost_flow(supply, demand, cost)
+        assert [sum(r) for r in flow] == supply and [sum(c) for c in zip(*flow)] == demand
+        price = sum(f * c for fr, cr in zip(flow, cost) for f, c in zip(fr, cr))
+        options = itertools.product(*[[x for x in itertools.product(range(s + 1), repeat=m) if sum(x) == s] for s in supply])
+        best = min(sum(f * c for fr, cr in zip(o, cost) for f, c in zip(fr, cr))
+                   for o in options if [sum(c) for c in zip(*o)] == demand)
+        assert price == best
+
+
+def test_fill_meets_its_shares():
+    rng = random.Random(4)
+    sizes = sorted((rng.randint(1, 900) for _ in range(400)), reverse=True)
+    shares = {2: sum(sizes) // 3, 5: sum(sizes) - sum(sizes) // 3}
+    placed = fill(sizes, shares)
+    for shard, share in shares.items():
+        assert abs(sum(s for s, p in zip(sizes, placed) if p == shard) - share) <= 20
+
+
+def shard_rows(n=700, seed=6):
+    rng = random.Random(seed)
+    rows = [(i, "x" * rng.randint(0, 200), rng.choice([0, 0, 0, 1, 2, 2, None])) for i in range(n)]
+    return rows + [(3, rows[3][1], rows[3][2]), (None, None, 1), (None, "é", 1), (9999, "long " * 900, 0)]
+
+
+def test_reshard(spark):
+    rows = shard_rows()
+    docs = spark.createDataFrame(rows, "doc_id long, text string, old int").withColumn("size", F.lit(1)).withColumn("o", F.lit(2))
+    out = reshard(docs, F.col("old"), (1, 1, 2, 1), fine_blocks=64, block_docs=20)
+    assert set(docs.columns) < set(out.columns)
+    found = out.collect()
+    assert sorted((str(r.doc_id), r.text or "") for r in found) == sorted((str(d), t or "") for d, t, _ in rows)
+    assert all(r._size == len((r.text or "").encode()) + 1 for r in found)
+    total = sum(r._size for r in found)
+    for shard, share in enumerate((0.2, 0.2, 0.4, 0.2)):
+        own = [r for r in found if r._shard == shard]
+        assert sorted(r._slot for r in own) == list(range(len(own)))
+        assert abs(sum(r._size for r in own) - share * total) <= 400
+    moved = sum(r._size for r in found if (r.old or 0) != r._shard)
+    held = [sum(r._size for r in found if (r.old or 0) == s) for s in range(4)]
+    least = sum(max(0, h - s * total) for h, s in zip(held, (0.2, 0.2, 0.4, 0.2)))
+    assert moved <= least + 1200
+
+
+def test_shards_that_keep_their_rows_keep_their_files(spark, tmp_path):
+    rows = [(i, "ab", i % 2) for i in range(40)] + [(100 + i, "abc", 2 if i < 20 else 3) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, old int")
+    sizes = [60, 60, 120, 120]
+    out = reshard(docs, F.col("old"), sizes, str(tmp_path / "new"), 16, 4)
+    assert sorted(p.name for p in (tmp_path / "new").glob("_shard=*")) == ["_shard=2", "_shard=3"]
+    assert out.count() == 100 and out.filter("_shard = old").count() >= 80
+    assert reshard(docs.limit(0), F.col("old")).collect() == []

@@ -1,0 +1,60 @@
+"""The stages together, against their plain versions."""
+
+import zlib
+
+import brute
+import corpus_pipeline
+import numpy as np
+from pyspark.sql import functions as F
+
+from marketframe.llm.mixing import Mixture
+from marketframe.llm.quality import QualityRules
+from marketframe.llm.queries import QUERIES, tokenizer_path
+
+SF = "/root/testdata/sf0.001"
+
+
+def plain(docs, items):
+    """Rows that the stages should give, from (doc_id, text, lang, source) rows."""
+    from tokenizers import Tokenizer
+
+    kept = brute.quality_kept([d[:3] for d in docs], QualityRules())
+    docs = [d for d in docs if kept[d[0]]]
+    component = brute.near_duplicates([d[:2] for d in docs])
+    docs = [d for d in docs if component[d[0]] == d[0]]
+    leaked = {d for d, _ in brute.leaks([d[:2] for d in docs], items)}
+    docs = [d for d in docs if d[0] not in leaked]
+    drawn = brute.mixing([(d, t, s, g) for d, t, g, s in docs], Mixture())
+    docs = sorted(d for d in docs if drawn[d[0]][1])
+    encode, at, out = Tokenizer.from_file(tokenizer_path()).encode, 0, []
+    for doc_id, text, _, _ in docs:
+        ids = encode(text or "", add_special_tokens=False).ids + [0]
+        out.append((doc_id, at, len(ids), zlib.crc32(np.array(ids, dtype="<u4").tobytes())))
+        at += len(ids)
+    return out
+
+
+def test_pipeline_against_the_plain_version(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang", "source").collect()
+    items = spark.read.parquet(f"{SF}/benchmark.parquet").select("item_id", "text").collect()
+    found = sorted(map(tuple, corpus_pipeline.run(spark, SF).collect()))
+    want = plain([tuple(d) for d in docs], [tuple(i) for i in items])
+    assert found == want and len(found) > 20
+
+
+def test_stages_take_odd_tables(spark):
+    rows = [(1, None, None, None, 1), (None, "a b", "en", "s", 2), (1, "", "en", "s", 3)]
+    odd = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    odd = odd.select("*", F.lit(1).alias("kept"), F.lit(2).alias("fp"), F.lit(3).alias("weight"))
+    for docs in (odd, odd.limit(0)):
+        for name, stage in corpus_pipeline.STAGES:
+            out = stage(spark, docs, SF)
+            assert name == "token_output" or out.columns == docs.columns
+            out.collect()
+
+
+def test_every_operator_has_one_query():
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert [n for n, _ in corpus_pipeline.STAGES] == [
+        "quality_rules", "simhash_dedup", "benchmark_decontamination", "source_mixing", "token_output"
+    ]
