@@ -1,9 +1,9 @@
 """Token ids in bit-plane files.
 
 A file holds the ids of consecutive documents. It is cut into blocks of a fixed number of ids; each
-block is transposed into 32 bit planes (plane b has bit b of every id) or 4 byte planes, and each
+block is transposed into 4 byte planes (plane b has byte b of every id) or 32 bit planes, and each
 plane is compressed by itself with zstandard, so that the high planes, nearly constant, cost next to
-nothing. After the planes come the chunk index (per block: where each plane starts and how long it
+nothing. Byte planes are the default: on the test texts they pack smaller, in a quarter of the time. After the planes come the chunk index (per block: where each plane starts and how long it
 is) and the document index, then their sizes, so that one block can be read without the rest:
 
     b"BPL1" | planes ... | chunk index | document index | footer
@@ -20,8 +20,10 @@ manifest count. A repeated or lost task therefore leaves at most an unlisted fil
 import os
 import re
 import struct
+import sys
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 from itertools import chain
 
@@ -36,8 +38,10 @@ from marketframe.llm.common import all_slices, ship, spill
 from marketframe.session import scratch_dir
 
 MAGIC, BLOCK_IDS, END_ID = b"BPL1", 1 << 16, 0
+BYTE_PLANES, BIT_PLANES = 4, 32
 FOOTER = struct.Struct("<IIQQQQQ4s")
 FILE_IDS, FILE_DOCS = 64 << 20, 1 << 20  # after either, a task begins another file
+LITTLE = sys.byteorder == "little" and array("I").itemsize == 4
 MANIFEST = "file string, first long, number long, docs long, ids long"
 
 
@@ -71,7 +75,7 @@ class Encoder:
 
     def encode_pieces(self, pieces: list[str]) -> list[bytes]:
         encoded = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in encoded]
+        return [array("I", e.ids).tobytes() if LITTLE else np.array(e.ids, "<u4").tobytes() for e in encoded]
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
@@ -99,14 +103,14 @@ def encoder(path: str) -> Encoder:
 
 def to_planes(ids: np.ndarray, planes: int) -> list[bytes]:
     raw = np.ascontiguousarray(ids, dtype="<u4").view(np.uint8).reshape(-1, 4)
-    if planes == 4:
-        return [raw[:, b].tobytes() for b in range(4)]
+    if planes == BYTE_PLANES:
+        return [raw[:, b].tobytes() for b in range(BYTE_PLANES)]
     bits = np.unpackbits(raw, axis=1, bitorder="little")
-    return [np.packbits(bits[:, b], bitorder="little").tobytes() for b in range(32)]
+    return [np.packbits(bits[:, b], bitorder="little").tobytes() for b in range(BIT_PLANES)]
 
 
 def from_planes(planes: list[bytes], count: int) -> np.ndarray:
-    if len(planes) == 4:
+    if len(planes) == BYTE_PLANES:
         raw = np.stack([np.frombuffer(p, np.uint8) for p in planes], axis=1)
     else:
         rows = [np.unpackbits(np.frombuffer(p, np.uint8), count=count, bitorder="little") for p in planes]
@@ -117,7 +121,7 @@ def from_planes(planes: list[bytes], count: int) -> np.ndarray:
 class FileWriter:
     """Writes one file; holds at most one block and the document index."""
 
-    def __init__(self, out, planes: int = 32, block_ids: int = BLOCK_IDS) -> None:
+    def __init__(self, out, planes: int = BYTE_PLANES, block_ids: int = BLOCK_IDS) -> None:
         self.out, self.planes, self.block_ids = out, planes, block_ids
         self.at, self.ids, self.left, self.held = len(MAGIC), 0, [], 0
         self.chunks, self.doc_ids, self.ends = [], [], []
@@ -216,7 +220,7 @@ class FileReader:
 
 
 def write_token_files(
-    docs: DataFrame, path: str, tokenizer: str, planes: int = 32, block_ids: int = BLOCK_IDS
+    docs: DataFrame, path: str, tokenizer: str, planes: int = BYTE_PLANES, block_ids: int = BLOCK_IDS
 ) -> DataFrame:
     """Encode ``docs`` (doc_id, text) into files below ``path``; returns the written manifest.
 
@@ -286,7 +290,7 @@ def read_token_files(manifest: DataFrame, path: str) -> DataFrame:
 
 
 def tokenise(
-    spark: SparkSession, docs: DataFrame, tokenizer: str, planes: int = 32
+    spark: SparkSession, docs: DataFrame, tokenizer: str, planes: int = BYTE_PLANES
 ) -> DataFrame:
     """Write token files to the shared scratch folder and describe each document from them."""
     path = f"{scratch_dir(spark, 'tokens')}/files"
