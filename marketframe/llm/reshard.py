@@ -150,8 +150,7 @@ def reshard(
     A shard's size is within a few documents' rounding of its capacity. Files of shards that gain
     or lose are written below ``path``, a folder per shard, in slot order; rows of the others come
     from ``docs``. A null text has size 1. Rows that repeat doc_id and text move together; a null
-    doc_id is like any other. An empty table gives no rows. Columns starting with ``_`` and one of
-    these names are reserved.
+    doc_id is like any other. An empty table gives no rows. Columns starting with ``_`` are reserved.
     """
     spark = docs.sparkSession
     ship(spark)
@@ -185,12 +184,12 @@ def reshard(
     block = F.floor(F.col("_fine") * n_blocks / fine_blocks).cast("int")
     keyed = keyed.withColumn("_block", block).drop("_fine")
 
-    moves = spark.createDataFrame(whole, "o int, b int, _shard int")  # at most blocks x shards
-    on = (F.col("_old") == F.col("o")) & (F.col("_block") == F.col("b"))
-    placed = keyed.join(F.broadcast(moves), on).drop("o", "b")
+    moves = spark.createDataFrame(whole, "_o int, _b int, _shard int")  # at most blocks x shards
+    on = (F.col("_old") == F.col("_o")) & (F.col("_block") == F.col("_b"))
+    placed = keyed.join(F.broadcast(moves), on).drop("_o", "_b")
     if split:
-        cuts = spark.createDataFrame(list(split), "o int, b int")
-        edge = keyed.join(F.broadcast(cuts), on).drop("o", "b")
+        cuts = spark.createDataFrame(list(split), "_o int, _b int")
+        edge = keyed.join(F.broadcast(cuts), on).drop("_o", "_b")
         units = edge.groupBy(
             F.col("_old").alias("old"),
             F.col("_block").alias("block"),
@@ -217,9 +216,9 @@ def reshard(
     for shard, old, b, n in sorted(pieces):
         bases.append((shard, old, b, at[shard]))
         at[shard] += n
-    base = spark.createDataFrame(bases, "s int, o int, b int, _base long")
-    on = (F.col("_shard") == F.col("s")) & on
-    placed = placed.join(F.broadcast(base), on).drop("s", "o", "b")
+    base = spark.createDataFrame(bases, "_s int, _o int, _b int, _base long")
+    on = (F.col("_shard") == F.col("_s")) & on
+    placed = placed.join(F.broadcast(base), on).drop("_s", "_o", "_b")
     piece = ["_shard", "_old", "_block"]
     order = Window.partitionBy(*piece).orderBy(F.asc_nulls_first("doc_id"), "_crc", "_size")
     ordered = placed.repartitionByRange(*piece).withColumn(
