@@ -55,18 +55,27 @@ def violations(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
 
 
 def assert_rules(
-    df: DataFrame, rules: Mapping[str, Column], table: str, partition: Column | None = None
+    df: DataFrame,
+    rules: Mapping[str, Column],
+    table: str,
+    partition: Column | None = None,
+    example: Column | None = None,
 ) -> list:
     """Raise if any row breaks a rule: one aggregation without a shuffle of rows.
 
-    Returns the distinct values of ``partition`` where given, found in the same pass; it must be a
+    The error names, for every broken rule, its number of rows and one value of ``example``. Returns the distinct values of ``partition`` where given, found in the same pass; it must be a
     column of few values.
     """
     names = list(rules)
     counts = [F.count_if(rules[name]).alias(str(i)) for i, name in enumerate(names)]
+    shown = F.lit(None).cast("string") if example is None else example.cast("string")
+    ones = [F.min(F.when(rules[name], shown)).alias(f"{i}e") for i, name in enumerate(names)]
     values = F.collect_set(F.lit(None) if partition is None else partition)
-    row = df.agg(*counts, values.alias("values")).first()
-    found = [f"{name} ({n} rows)" for name, n in zip(names, row) if n]
+    row = df.agg(*counts, *ones, values.alias("values")).first()
+    found = [
+        f"{name} ({n} rows{'' if one is None else f', such as {one}'})"
+        for name, n, one in zip(names, row, row[len(names):]) if n
+    ]
     if found:
         raise ConstraintError(f"{table}: " + "; ".join(found))
     return row["values"]

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from marketframe import schemas
 from marketframe.functions import month_of
 from marketframe.operators import (
-    assert_no_orphans,
     assert_rules,
     clean_descriptions,
     description_update_counts,
@@ -47,9 +46,12 @@ def _load_fact(
         known, orphans = split_orphans(curated, lake.read_dim(spark))
         orphans.write.mode("overwrite").parquet(quarantine)
         curated = known
-    touched = assert_rules(curated, fact_rules(), "fact_coin_prices", month)
-    if quarantine is None:
-        assert_no_orphans(curated, lake.read_dim(spark), "fact_coin_prices")
+    # Rules, orphans and touched months come from one pass over the batch.
+    known = lake.read_dim(spark).select("coin_id", F.lit(True).alias("known"))
+    orphan = F.col("coin_id").isNotNull() & F.col("known").isNull()
+    rules = {**fact_rules(), "coin_id is not in dim_coins": orphan}
+    checked = curated.join(known, "coin_id", "left")
+    touched = assert_rules(checked, rules, "fact_coin_prices", month, F.col("coin_id"))
     merge_partitions(
         lambda: lake.read_fact(spark),
         to_fact(curated, unique).withColumn(schemas.FACT_PARTITION, month),
