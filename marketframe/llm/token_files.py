@@ -25,7 +25,7 @@ import uuid
 import zlib
 from array import array
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -65,7 +65,7 @@ class Encoder:
     white space to Python but not to the tokenizer are encoded whole.
     """
 
-    PIECE, ODD, HELD = re.compile(r"\s*\S+|\s+"), re.compile("[\x1c-\x1f]"), 400_000
+    PIECE, ODD, HELD = re.compile(r"\s*\S+|\s+"), re.compile("[\x1c-\x1f]"), 1_000_000
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -79,8 +79,8 @@ class Encoder:
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
-        if len(self.known) > self.HELD:
-            self.known.clear()
+        if len(self.known) > self.HELD:  # about 200 MB; what came first is what is frequent
+            self.known = dict(islice(self.known.items(), self.HELD // 2))
         cut = [[t] if self.ODD.search(t) else self.PIECE.findall(t) for t in texts]
         missing = list(set(chain.from_iterable(cut)).difference(self.known))
         for at in range(0, len(missing), 4096):
