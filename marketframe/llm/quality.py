@@ -1,7 +1,8 @@
 """Quality rules: counts of a text, and its distance from how its language usually looks.
 
 Every language gets two reference distributions from the whole corpus: shares of character classes,
-and shares of its common words, with one share for all other words. Words are counted by hash cell,
+and shares of its common words, with one share for all other words. Under ``CORPUS_RULES`` each distinct
+text that passes the base rules counts once there, however many copies of it there are. Words are counted by hash cell,
 so that a language is a table of fixed size and no vocabulary is shuffled. A document is compared with
 them by Jensen-Shannon distance (base 2, so 0 to 1). Documents too short for a histogram are not
 compared. Built-in functions only; a document's counts stay within its row, and only the references
@@ -24,7 +25,8 @@ SYMBOLS = "[^#*$%&|<>]+"
 @dataclass(frozen=True)
 class QualityRules:
     """Limits of the verdict. ``common_share``: a word (or the words of one hash cell) is common in a
-    language if it makes up this share of its words, so that there are at most 1 / common_share."""
+    language if it makes up this share of its words, so that there are at most 1 / common_share.
+    ``distinct_texts``: references count each text that passes the base rules once, not every row."""
 
     min_words: int = 50
     max_repeat_percent: int = 50
@@ -34,8 +36,12 @@ class QualityRules:
     common_share: float = 0.002
     cells: int = 8192
     max_languages: int = 200
+    distinct_texts: bool = False
 
 
+# For whole corpora, where one group of copies can outweigh the rest of its language.
+CORPUS_RULES = QualityRules(distinct_texts=True)
+
 
 def _window_hashes(words: Column) -> Column:
     """Hashes of the 3-word windows, in text order."""
@@ -123,26 +129,43 @@ def _class_names(prefix: str) -> list[str]:
     return [f"{prefix}{i}" for i in range(len(CLASSES) + 1)]
 
 
+def _reference_texts(docs: DataFrame, rules: QualityRules) -> DataFrame:
+    """Language, class counts and word cells of the texts that make the references.
+
+    With ``distinct_texts``, those that pass the base rules, each once per language. Copies are put together before anything is shuffled, and a text travels as its hash and cells.
+    """
+    lang = F.coalesce("lang", F.lit("")).alias("lang")
+    text = docs.select(lang, F.col("text"), words_of(F.col("text")).alias("words"))
+    text = text.filter(F.size("words") >= rules.min_words)
+    if rules.distinct_texts:
+        text = with_repeats(text, "words", "repeats")
+        passed = 100 * F.col("repeats") <= rules.max_repeat_percent * F.size("words")
+        # Not deterministic, for the reason given in ``keep_good``.
+        text = text.withColumn("passed", passed & (F.monotonically_increasing_id() >= 0)).filter("passed")
+    small = "array<smallint>" if rules.cells <= 1 << 15 else "array<int>"
+    cells = word_cells(F.col("words"), rules.cells).cast(small).alias("cells")
+    text = text.select("lang", "text", F.xxhash64("text").alias("text_hash"), cells)
+    text = _class_counts(text, F.col("text"), "c")
+    text = text.select("lang", "text_hash", *_class_names("c"), "cells")
+    return text.distinct() if rules.distinct_texts else text
+
+
 def language_references(docs: DataFrame, rules: QualityRules) -> DataFrame:
     """Per language: class_shares, the place of each cell among the common ones (0: none), and their
-    common_shares. A null language is one."""
-    lang = F.coalesce("lang", F.lit("")).alias("lang")
-    texts = docs.select(lang, F.col("text"), words_of(F.col("text")).alias("words")).filter(
-        F.size("words") >= rules.min_words
-    )
-    counted = _class_counts(texts.select("lang", "text"), F.col("text"), "c")
-    total = sum((F.col(c) for c in _class_names("s")), F.lit(0))
-    classes = (
-        counted.groupBy("lang")
-        .agg(*[F.sum(c).alias(f"s{c[1:]}") for c in _class_names("c")])
-        .select(
-            "lang",
-            F.array(*[F.col(c) / total for c in _class_names("s")]).alias("class_shares"),
-        )
+    common_shares. A null language is one; a language without reference texts has no row."""
+    texts = _reference_texts(docs, rules)
+    cells = texts.select("lang", F.explode("cells").alias("cell"))
+    # Classes go along as cells below zero, so that both sums read one shuffle of the texts.
+    sums = texts.groupBy("lang").agg(*[F.sum(c).alias(c) for c in _class_names("c")])
+    kinds = F.array(
+        *[F.struct(F.lit(-1 - i).alias("cell"), F.col(c).alias("n")) for i, c in enumerate(_class_names("c"))]
     )
-    cells = texts.select("lang", F.explode(word_cells(F.col("words"), rules.cells)).alias("cell"))
     counts = cells.groupBy("lang", "cell").agg(F.count("*").alias("n"))
-    counts = spill(counts, "cells")  # at most ``cells`` rows per language
+    counts = counts.withColumn("cell", F.col("cell").cast("int"))
+    both = spill(counts.unionByName(sums.select("lang", F.inline(kinds))), "cells")  # at most ``cells`` rows per language, and the classes
+    counts, kinds = both.filter("cell >= 0"), both.filter("cell < 0")
+    n_of = [F.sum(F.when(F.col("cell") == -1 - i, F.col("n"))) for i in range(len(_class_names("c")))]
+    classes = kinds.groupBy("lang").agg(F.array(*[n / F.sum("n") for n in n_of]).alias("class_shares"))
     totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))
     common = (
         counts.join(totals, "lang")
@@ -215,8 +238,8 @@ def score_quality(docs: DataFrame, rules: QualityRules = QualityRules()) -> Data
 
     Added: n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, char_distance,
     word_distance, kept. A null text counts as empty, and so fails for want of words. Distances are
-    null (and no reason to drop) for texts under ``min_words`` or ``min_chars``, and the word
-    distance also where the language has no common words. A null language is a language of its own.
+    null (and no reason to drop) for texts under ``min_words`` or ``min_chars`` and where the
+    language has no reference texts, and the word distance also where it has no common words. A null language is a language of its own.
     Repeated rows get equal verdicts; an empty table gives none. Columns of ``docs`` that have one
     of the added names are replaced; columns starting with ``_q_`` are reserved.
     """
@@ -266,15 +289,17 @@ def score_quality(docs: DataFrame, rules: QualityRules = QualityRules()) -> Data
         100 * F.col("n_repeat_words") > rules.max_repeat_percent * F.col("n_words")
     )
     df = df.withColumn("base_failed", base_failed)
-    df = df.withColumn("char_distance", F.when(long_enough, F.round(_distance(parts), 6)))
-    df = df.withColumn("word_distance", F.when(long_enough, F.round("_q_word_distance", 6)))
+    compared = long_enough & F.col("_q_class_shares").isNotNull()
+    df = df.withColumn("char_distance", F.when(compared, F.round(_distance(parts), 6)))
+    compared = long_enough & F.col("_q_common_shares").isNotNull()
+    df = df.withColumn("word_distance", F.when(compared, F.round("_q_word_distance", 6)))
     near = F.coalesce(F.col("char_distance") <= rules.max_char_distance, F.lit(True))
     alike = F.coalesce(F.col("word_distance") <= rules.max_word_distance, F.lit(True))
     df = df.withColumn("kept", ~F.col("base_failed") & near & alike)
     return df.select(*names, *rules_out)
 
 
-def keep_good(docs: DataFrame, rules: QualityRules = QualityRules()) -> DataFrame:
+def keep_good(docs: DataFrame, rules: QualityRules = CORPUS_RULES) -> DataFrame:
     """The rows of ``docs`` that the rules keep, with their own columns only."""
     packed = docs.select(F.struct(*docs.columns).alias("_row"), "text", "lang")
     # A deterministic verdict would be pushed down into the scan, and be worked out there from the

@@ -11,7 +11,7 @@ from marketframe.llm.html_text import extract_main_text
 from marketframe.llm.mixing import mix
 from marketframe.llm.pii import KINDS as PII_KINDS
 from marketframe.llm.pii import digest_spans, find_personal_data
-from marketframe.llm.quality import score_quality
+from marketframe.llm.quality import CORPUS_RULES, score_quality
 from marketframe.llm.reshard import reshard
 from marketframe.llm.secret_scan import BASE_KINDS, find_secrets
 from marketframe.llm.secret_scan import KINDS as SECRET_KINDS
@@ -66,7 +66,7 @@ def op4_reshard_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored = score_quality(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+    scored = score_quality(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), CORPUS_RULES)
     return scored.drop("text", "lang")
 
 

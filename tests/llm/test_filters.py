@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from marketframe.llm.decontaminate import common_subsequence, contaminated, decontaminate
 from marketframe.llm.mixing import Mixture, mix, mixed_documents
-from marketframe.llm.quality import QualityRules, keep_good, score_quality
+from marketframe.llm.quality import CORPUS_RULES, QualityRules, keep_good, score_quality
 
 DOCS = "doc_id long, text string, lang string, source string"
 RULES = QualityRules()
@@ -49,6 +49,29 @@ def test_quality_against_the_plain_version(spark, plan):
     assert {d: r.kept for d, r in found.items()} == kept and len(set(kept.values())) == 2
 
 
+def test_copies_are_one_text_in_the_references(spark):
+    """A third of the rows copies of one text, another third one that fails the base rules."""
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randint(3, 7)))
+    usual, rare = [word() for _ in range(60)], [word() for _ in range(300)]
+    texts = [" ".join(rng.choice(usual if rng.random() < 0.7 else rare) for _ in range(200)) for _ in range(40)]
+    clean = [(i, text, "es", "s") for i, text in enumerate(texts)]
+    odd = " ".join(word() + str(i) for i in range(150))
+    copies = [(1000 + i, odd, "es", "s") for i in range(400)]
+    failed = [(2000 + i, f"buy{i % 7} now cheap " * 60 + str(i), "es", "s") for i in range(400)]
+    other = [(3000 + i, text, "en", "s") for i, text in enumerate(texts * 10)]
+    table = lambda rows: spark.createDataFrame(rows, DOCS).repartition(5)
+    kept = keep_good(table(clean + copies + failed + other)).filter("doc_id < 1000").collect()
+    assert sorted(r.doc_id for r in kept) == list(range(len(clean)))
+    columns = ("doc_id", "char_distance", "word_distance", "kept")
+    verdicts = lambda rows: sorted(
+        score_quality(table(rows), CORPUS_RULES).filter("doc_id < 1000").select(*columns).collect()
+    )
+    assert verdicts(clean + copies + failed + other) == verdicts(clean + copies[:1])
+    only = score_quality(table(failed[:3]), CORPUS_RULES).collect()
+    assert [(r.char_distance, r.word_distance, r.kept) for r in only] == [(None, None, False)] * 3
+
+
 def test_quality_of_odd_tables(spark):
     rows = corpus(10)
     wide = spark.createDataFrame(rows + rows[:2], DOCS).select(
