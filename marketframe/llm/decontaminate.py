@@ -2,7 +2,8 @@
 
 Passages are windows of words. Their TF-IDF vectors, over the benchmark's terms, span a latent space
 found by a randomised SVD whose products with the passage matrix are sums over partitions. Passages
-whose latent cosine with a benchmark item is high are candidates; a longest common subsequence
+whose latent cosine with a benchmark item is high are candidates, and for items made of terms too common
+for that, passages with one of the item's rarest terms; a longest common subsequence
 between the item and the text around the passage, and a check that the terms it ends on (its
 answer) are there, decide. Words outside the benchmark cannot match an item, so a document is reduced
 once to the positions of the benchmark's terms in it, and every later pass reads only that.
@@ -27,7 +28,7 @@ TERM = re.compile(r"[^\W_]+")
 @dataclass(frozen=True)
 class Retrieval:
     """``window``: words of a passage; ``rank``: latent dimensions; ``common``: terms in more than
-    this share of passages get weight zero; ``cosine``: least latent cosine of a candidate;
+    this share of passages get weight zero, save an item's rarest; ``cosine``: least latent cosine of a candidate;
     ``overlap``: least share of an item's words in the common subsequence; ``answer``: least share
     of its answer, the terms of its last quarter; ``items_at_once``: benchmark items per pass over the corpus."""
 
@@ -130,7 +131,7 @@ def _rows(names: list[str], columns: list) -> pa.RecordBatch:
 
 
 def passage_frequencies(terms: DataFrame, size: int, window: int) -> tuple[np.ndarray, int]:
-    """In how many passages each term stands, and how many passages there are."""
+    """In how many passages of distinct texts each term stands, and how many passages there are."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(size + 1, dtype=np.int64)
@@ -141,13 +142,68 @@ def passage_frequencies(terms: DataFrame, size: int, window: int) -> tuple[np.nd
             counts[size] += passages.count
         yield _rows(["term", "n"], [np.arange(size + 1), counts])
 
-    rows = terms.mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
+    once = terms.drop("doc_id").distinct()
+    rows = once.mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
     found = np.zeros(size + 1, dtype=np.int64)
     for term, n in rows.collect():  # one row per benchmark term
         found[term] = n
     return found[:size], int(found[size])
 
 
+def term_weights(items: Items, frequency: np.ndarray, passages: int, r: Retrieval) -> np.ndarray:
+    """Inverse document frequencies; zero for common terms, but an item keeps its rarest ones."""
+    full = np.log((1 + passages) / (1 + frequency))
+    weights = np.where(frequency > max(r.common * passages, 100), 0.0, full)
+    for item in items.terms:
+        if not np.any(weights[item] > 0):
+            rarest = item[frequency[item] == frequency[item].min()]
+            weights[rarest] = full[rarest]
+    return weights
+
+
+class Anchors:
+    """Items with too little weighted mass for the latent search, and terms that any match has.
+
+    A common subsequence leaves out at most some places of an item, so that it holds one of any
+    larger set of its places: the rarest are its anchors. Every passage with one is a candidate.
+    """
+
+    def __init__(self, items: Items, weights: np.ndarray, frequency: np.ndarray, outside: float, r: Retrieval) -> None:
+        self.weak: list[tuple[int, np.ndarray, np.ndarray, int]] = []
+        for j, item in enumerate(items.terms):
+            length = len(item)
+            inside = min(length, 3 * r.window // 4)  # of the item, in the better of two passages
+            mass = float((weights[item] ** 2).sum()) * inside / length
+            share = math.sqrt(mass / max(mass + outside * (r.window - inside), 1e-12))
+            if share >= 1.5 * r.cosine and np.count_nonzero(weights[item]) * 4 >= length:
+                continue
+            least = next(n for n in range(length + 1) if n / length >= r.overlap)
+            order = np.argsort(frequency[item], kind="stable")
+            anchor, own = (np.zeros(len(weights), dtype=bool) for _ in range(2))
+            anchor[item[order[: length - least + 1]]] = True
+            own[item] = True
+            self.weak.append((j, anchor, own, least))
+
+    def passages(self, p: Passages, places: np.ndarray, starts: np.ndarray, r: Retrieval, lengths: list[int]):
+        """(passage, item) with an anchor in the passage and enough of the item's terms around it.
+
+        ``places``: where each term of ``p`` stands; ``starts``: each document's first term in it.
+        """
+        for j, anchor, own, least in self.weak:
+            rows = np.unique(p.row[anchor[p.term]])
+            if not len(rows):
+                continue
+            # One ascending number per word, so that a place in a document is found by bisection.
+            wide = int(places.max()) + r.window + 2 * lengths[j] + 2
+            number = np.repeat(np.arange(len(starts) - 1), np.diff(starts)) * wide + places
+            held = np.concatenate([[0], np.cumsum(own[p.term])])
+            base, begin = p.document[rows] * wide, p.begin[rows]
+            lo = np.searchsorted(number, base + np.maximum(begin - lengths[j], 0))
+            hi = np.searchsorted(number, base + begin + r.window + lengths[j])
+            for row in rows[held[hi] - held[lo] >= least].tolist():
+                yield row, j
+
+
 def gram_product(terms: DataFrame, weights: np.ndarray, right: np.ndarray, window: int) -> np.ndarray:
     """transpose(A) A ``right`` for the passage matrix A: each task adds up its own passages."""
     size, width = right.shape
@@ -221,7 +277,7 @@ def common_subsequence(item: dict[int, int], length: int, text: list[int]) -> in
     return length - state.bit_count()
 
 
-def _search(items: Items, weights: np.ndarray, basis: np.ndarray, r: Retrieval):
+def _search(items: Items, weights: np.ndarray, frequency: np.ndarray, basis: np.ndarray, r: Retrieval):
     latent_items = np.stack([weights[t] @ basis[t] for t in items.terms])
     norms = np.linalg.norm(latent_items, axis=1)
     latent_items = (latent_items / np.maximum(norms, 1e-9)[:, None]).astype(np.float32)
@@ -235,18 +291,31 @@ def _search(items: Items, weights: np.ndarray, basis: np.ndarray, r: Retrieval):
     outside = float(np.median(weights[weights > 0])) ** 2 if np.any(weights > 0) else 1.0
     used, squares = weights > 0, weights**2
     scaled = (weights[:, None] * basis).astype(np.float32)
+    anchors = Anchors(items, weights, frequency, outside, r)
+    lengths = [len(item) for item in items.terms]
 
     def candidates(batch: pa.RecordBatch) -> Iterator[tuple[int, int, int, float]]:
         """(document, item, first word of the passage, cosine)."""
+        places = batch["places"].flatten().to_numpy().astype(np.int64)
+        sizes = batch["terms"].value_lengths().to_numpy(zero_copy_only=False)
+        starts = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
         for shift in (0, r.window // 2):
             passages = Passages(batch, r.window, shift)
             row, latent = passages.times(used, scaled)
+            exact = anchors.passages(passages, places, starts, r, lengths)
             if not len(row):
+                for p, j in exact:
+                    yield int(passages.document[p]), j, int(passages.begin[p]), 0.0
                 continue
             mass = np.bincount(passages.row, squares[passages.term], passages.count)[row]
             known = np.bincount(passages.row, minlength=passages.count)[row]
             share = np.sqrt(mass / (mass + outside * (passages.words[row] - known)))
             latent *= (share / np.maximum(np.linalg.norm(latent, axis=1), 1e-9))[:, None]
+            for p, j in exact:
+                at = int(np.searchsorted(row, p))
+                here = at < len(row) and row[at] == p
+                near = float(latent[at] @ latent_items[j]) if here else 0.0
+                yield int(passages.document[p]), j, int(passages.begin[p]), near
             for start in range(0, len(row), 2048):
                 cosine = latent[start : start + 2048] @ latent_items.T
                 for i, j in zip(*np.nonzero(cosine >= r.cosine), strict=True):
@@ -305,10 +374,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, r: Retrieval = Retrieval
         items = Items(rows)
         terms = compact(docs, items)
         frequency, passages = passage_frequencies(terms, len(items.vocabulary), r.window)
-        weights = np.log((1 + passages) / (1 + frequency))
-        weights[frequency > max(r.common * passages, 100)] = 0.0
+        weights = term_weights(items, frequency, passages, r)
         basis = latent_space(terms, items, weights, r)
-        found = found.unionByName(terms.mapInArrow(_search(items, weights, basis, r), kind))
+        found = found.unionByName(terms.mapInArrow(_search(items, weights, frequency, basis, r), kind))
     return found
 
 

@@ -142,6 +142,23 @@ def test_leaks_and_paraphrases_are_found(spark):
     assert pairs == set(planted.items()) == brute.leaks(rows, items)
 
 
+def test_hot_items_in_short_passages_are_found(spark):
+    """Over 1,000 short documents hold one item, and another item is made of frequent words only."""
+    rng, items = random.Random(12), benchmark()
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randint(3, 8)))
+    frequent = [word() for _ in range(20)]
+    items = items[:6] + [(50, " ".join(rng.choice(frequent) for _ in range(24)))]
+    plain = lambda n: " ".join(rng.choice([word(), rng.choice(frequent)]) for _ in range(n))
+    rows = [(i, f"{plain(10)} {items[0][1]} {plain(10)}") for i in range(1200)]
+    rows += [(2000 + i, plain(30)) for i in range(2400)]
+    rows += [(5000 + i, f"{plain(10)} {items[-1][1]} {plain(10)}") for i in range(5)]
+    rows += [(6000, f"{plain(10)} {items[3][1]}")]
+    want = {(i, items[0][0]) for i in range(1200)} | {(5000 + i, 50) for i in range(5)} | {(6000, items[3][0])}
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = contaminated(docs, spark.createDataFrame(items, "item_id long, text string"))
+    assert {(r.doc_id, r.item_id) for r in found.collect()} == want
+
+
 def test_decontamination_of_odd_tables(spark):
     items = benchmark()[:3]
     bench = spark.createDataFrame(items + [(90, None), (91, ""), (None, "..."), items[0]], "item_id long, text string")
