@@ -49,6 +49,10 @@ BOILER_WORDS = frozenset(
     "pagination pager widget form search toolbar topbar copyright legal disclaimer".split()
 )
 CONTENT_WORDS = frozenset("article content post entry story main maincontent articlebody".split())
+# A class name tells of the layout, not of what the element holds, from such a word on.
+MODIFIERS = frozenset("has with no without".split())
+# Below the classifier's bound of 4, so that it and the edges can overturn a hint.
+BOILER_HINT, CONTENT_HINT = -3.5, 3.0
 
 TAG = re.compile(r"<(?:(/?)([A-Za-z][^\s/>]*)|[!?/])")
 ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
@@ -74,6 +78,7 @@ class Element:
     boiler: bool
     content: bool
     inline: bool = field(default=False)
+    hard: bool = field(default=False)  # boilerplate by an element's name, not only by a word
 
 
 def _tag_end(page: str, at: int) -> int:
@@ -92,17 +97,25 @@ def _tag_end(page: str, at: int) -> int:
 
 
 def _element(tag: str, number: int, attributes: str, parent: Element) -> Element:
-    boiler, content = parent.boiler, parent.content
-    hint, words = parent.hint, set()
+    boiler, content, hard, hint = parent.boiler, parent.content, parent.hard, parent.hint
+    against_word = content_word = False
     for m in ATTRIBUTE.finditer(attributes) if attributes else ():
-        words.update(w.lower() for w in WORDS.findall(m[2] or m[3] or m[4] or ""))
-    against = tag in BOILER_TAGS or (tag == "header" and not content) or bool(words & BOILER_WORDS)
-    towards = tag in CONTENT_TAGS or bool(words & CONTENT_WORDS)
-    if against and tag not in ("html", "body", "article", "main"):
-        boiler, hint = True, min(hint, 0.0) - 6.0
-    elif towards:
-        content, hint = True, 5.0 if not boiler else hint
-    return Element(tag, number, hint, boiler, content, tag in INLINE)
+        for name in (m[2] or m[3] or m[4] or "").split():
+            words = [w.lower() for w in WORDS.findall(name)]
+            layout = next((i for i, w in enumerate(words) if w in MODIFIERS), len(words))
+            told = set(words[:layout])
+            # One name with both, such as post-comments, is a part of the page beside the content.
+            against_word |= bool(told & BOILER_WORDS)
+            content_word |= bool(told & CONTENT_WORDS) and not told & BOILER_WORDS
+    by_name = tag in BOILER_TAGS or (tag == "header" and not content)
+    whole = tag in ("html", "body", *CONTENT_TAGS)
+    if not whole and (by_name or (against_word and not content_word)):
+        boiler, hard, hint = True, hard or by_name, BOILER_HINT
+    elif tag in CONTENT_TAGS and boiler and not hard and (content_word or not against_word):
+        boiler, content, hint = False, True, CONTENT_HINT
+    elif tag in CONTENT_TAGS or content_word:
+        content, hint = True, CONTENT_HINT if not boiler else hint
+    return Element(tag, number, hint, boiler, content, tag in INLINE, hard)
 
 
 def blocks_of(page: str) -> list[Block]:

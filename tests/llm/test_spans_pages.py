@@ -155,6 +155,17 @@ def test_pages(spark):
     assert extract_main_text(pages.limit(0)).collect() == []
 
 
+@pytest.mark.parametrize("outer", [
+    "content-area has-sidebar", "layout with-sidebar", "no-comments", "sticky-header", "page widget", "site-main toolbar-top",
+])
+def test_layout_classes_do_not_lose_the_article(spark, outer):
+    want = "Big news The cat sat on the mat & slept. It was long. Second para with x < y é. First point"
+    framed = PAGE.replace("<article>", f'<div class="{outer}"><article>').replace("</article>", "</article></div>")
+    rows = [(1, "u", framed)] + [(10 + i, "u", PAGE.replace("cat", f"cat{i}")) for i in range(30)]
+    found = extract_main_text(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    assert found.filter("page_id = 1").first().text == want
+
+
 def test_broken_pages_end():
     for page in ("<" * 50_000, "<a \"" * 20_000, "<!--", "<script>", "<p" * 20_000, "&" * 50_000, "<div>" * 5_000 + "x", "<a href='"):
         assert isinstance(main_text(page, np.zeros(9), Extraction()), str)
