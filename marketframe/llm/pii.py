@@ -92,15 +92,37 @@ def base_spans(text: str) -> list[Span]:
     return spans
 
 
+def _numbers(run: str, at: int) -> list[tuple[int, int, int]]:
+    """(start, end, digits) of a run that starts at ``at``, or of its parts if it is too long for one.
+
+    Parts end at blanks. Those of under 7 digits, such as the groups of a card number, are put
+    together again up to 16 digits.
+    """
+    n = sum(c.isdigit() for c in run)
+    if n <= 19:
+        return [(at, at + len(run), n)]
+    parts: list[tuple[int, int, int]] = []
+    joined = False  # whether the last part may still grow
+    for m in re.finditer(r"[^ ]+", run):
+        n = sum(c.isdigit() for c in m.group())
+        short = n < 7
+        if joined and short and parts[-1][2] + n <= 16:
+            parts[-1] = (parts[-1][0], at + m.end(), parts[-1][2] + n)
+        else:
+            parts.append((at + m.start(), at + m.end(), n))
+        joined = short
+    return parts
+
+
 def candidates(text: str, base: list[Span]) -> list[Span]:
     """Base spans, and what the looser patterns find outside them."""
     spelled = AT.finditer(text) if "(at)" in text or "[at]" in text else ()
     loose: list[Span] = [("email", m.start(), m.end()) for m in spelled]
     loose += [("ip", start, end) for start, end, _ in _addresses(text)]
     for m in NUMBER.finditer(text):
-        n = sum(c.isdigit() for c in m.group())
-        if 7 <= n <= 19:
-            loose.append(("phone" if n < 12 else "card", m.start(), m.end()))
+        for start, end, n in _numbers(m.group(), m.start()):
+            if 7 <= n <= 19:
+                loose.append(("phone" if n < 12 else "card", start, end))
     near = sorted(base, key=lambda s: s[1])
     starts = [s[1] for s in near]
     out = list(base)

@@ -59,6 +59,15 @@ def test_long_runs_take_linear_time():
         secret_scan.candidates(text, secret_scan.base_spans(text))
 
 
+def test_lists_of_numbers_are_split():
+    numbers = ["212-555-0147", "212-555-0148", "4111 1111 1111 1111", "5500 0000 0000 0004", "212-555-0149"]
+    for some in (numbers[:2], numbers[2:4], numbers):
+        text = "call " + " ".join(some)
+        spans = pii.candidates(text, [])
+        assert [text[a:b] for _, a, b in spans] == some
+    assert len(pii.candidates("1" * 19, [])) == 1 and pii.candidates("1" * 20, []) == []
+
+
 def test_estimated_reliability_follows_the_good_labelers():
     rng, counts = random.Random(2), {}
     truth = {}
