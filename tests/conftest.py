@@ -1,4 +1,3 @@
-import os
 import sys
 from pathlib import Path
 
@@ -10,8 +9,6 @@ sys.path.insert(0, str(ROOT / "tests"))
 
 from marketframe import get_spark  # noqa: E402
 
-TESTDATA = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-
 
 @pytest.fixture(scope="session")
 def spark():

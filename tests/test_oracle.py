@@ -2,7 +2,7 @@
 
 import pytest
 from compare import differences, open_tables
-from conftest import TESTDATA
+from paths import TESTDATA
 
 import __spark_entry__ as suite
 from bindings.oracle import ORACLES

@@ -1,7 +1,7 @@
 """What the physical plans of the queries must and must not hold."""
 
 import pytest
-from conftest import TESTDATA
+from paths import TESTDATA
 
 import __spark_entry__ as suite
 from bindings.queries import QUERIES
