@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketframe.llm.common import table
+from marketframe.llm.conversations import audits, damage
 from marketframe.llm.decontaminate import contaminated
 from marketframe.llm.html_text import extract_main_text
 from marketframe.llm.mixing import mix
@@ -94,6 +95,11 @@ def op10_simhash_covering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classed.select("doc_id", hexadecimal.alias("fingerprint"), "component_id")
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = damage(table(spark, sf_dir, "conversations"))
+    return audits(turns).withColumnRenamed("conv", "conv_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -107,6 +113,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_bitplane_tokens,
         op9_pii_weak_supervision,
         op10_simhash_covering,
+        op11_conversation_repair,
     )
 }
 ORACLES: dict[str, str] = {}
