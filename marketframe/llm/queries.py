@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from marketframe.llm.common import table
 from marketframe.llm.conversations import audits, damage
 from marketframe.llm.decontaminate import contaminated
+from marketframe.llm.fingerprints import with_edits
 from marketframe.llm.html_text import extract_main_text
 from marketframe.llm.mixing import mix
 from marketframe.llm.pii import KINDS as PII_KINDS
@@ -19,6 +20,7 @@ from marketframe.llm.secret_scan import KINDS as SECRET_KINDS
 from marketframe.llm.simhash import near_duplicates
 from marketframe.llm.token_files import tokenise
 from marketframe.llm.toxicity import score_toxicity
+from marketframe.llm.whitening import whitened_embeddings
 
 
 def tokenizer_path() -> str:
@@ -100,6 +102,14 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audits(turns).withColumnRenamed("conv", "conv_id")
 
 
+def op12_whitening_jacobi_davidson(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitened_embeddings(table(spark, sf_dir, "embeddings"))
+
+
+def op13_quartile_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return with_edits(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -114,6 +124,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_pii_weak_supervision,
         op10_simhash_covering,
         op11_conversation_repair,
+        op12_whitening_jacobi_davidson,
+        op13_quartile_fingerprints,
     )
 }
 ORACLES: dict[str, str] = {}

@@ -54,7 +54,7 @@ def test_stages_take_odd_tables(spark):
 
 
 def test_every_operator_has_one_query():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert [n for n, _ in corpus_pipeline.STAGES] == [
         "quality_rules", "simhash_dedup", "benchmark_decontamination", "source_mixing", "token_output"
     ]
