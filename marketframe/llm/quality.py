@@ -1,14 +1,15 @@
 """Quality rules: counts of a text, and its distance from how its language usually looks.
 
 Every language gets two reference distributions from the whole corpus: shares of character classes,
-and shares of its common words, with one share for all other words. Under ``CORPUS_RULES`` each distinct
-text that passes the base rules counts once there, however many copies of it there are. Words are counted by hash cell,
-so that a language is a table of fixed size and no vocabulary is shuffled. A document is compared with
-them by Jensen-Shannon distance (base 2, so 0 to 1). Documents too short for a histogram are not
-compared. Built-in functions only; a document's counts stay within its row, and only the references
-are aggregated.
+and shares of its common words, with one share for all other words. Under ``CORPUS_RULES`` each
+distinct text that passes the base rules counts once there, however many copies of it there are. Words
+are counted by hash cell, so that a language is a table of fixed size and no vocabulary is shuffled. A
+document is compared with them by Jensen-Shannon distance (base 2, so 0 to 1). Documents too short for a
+histogram are not compared. Built-in functions only; a document's counts stay within its row and are
+written once, and only the references are aggregated.
 """
 
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -43,12 +44,24 @@ class QualityRules:
 CORPUS_RULES = QualityRules(distinct_texts=True)
 
 
+# Up to so many repeated hashes are looked up one by one, more by sorting all windows: the same
+# suspects either way.
+FEW_TWICE = 16
+
+
 def _window_hashes(words: Column) -> Column:
     """Hashes of the 3-word windows, in text order."""
     hashes = F.transform(words, lambda w, i: F.xxhash64(w, F.get(words, i + 1), F.get(words, i + 2)))
     return F.slice(hashes, 1, F.greatest(F.size(words) - 2, F.lit(0)))
 
 
+def _beside(ordered: Column, value: Callable[[Column], Column]) -> Callable[[Column, Column], Column]:
+    """Whether an element of an ordered array has the value of a neighbour."""
+    return lambda x, k: F.coalesce(value(x) == value(F.get(ordered, k + 1)), F.lit(False)) | (
+        (k > 0) & (value(x) == value(F.get(ordered, F.greatest(k - 1, F.lit(0)))))
+    )
+
+
 def _twice(ordered: Column) -> Column:
     """Values that an ordered array holds more than once."""
     return F.array_distinct(
@@ -56,16 +69,12 @@ def _twice(ordered: Column) -> Column:
     )
 
 
-def _suspects(words: Column, hashes: Column, twice: Column) -> Column:
-    """(window, position) of the windows whose hash occurs twice, ordered by window.
+def _windows(words: Column, at: Column) -> Column:
+    """(window, position) of the windows at some positions, ordered by window.
 
-    Equal windows have equal hashes, so that none is missed; comparing the windows themselves then
-    leaves out those that only share a hash.
+    Equal windows have equal hashes, so that among those whose hash occurs twice none is missed;
+    comparing the windows themselves then leaves out those that only share a hash.
     """
-    at = F.filter(
-        F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i"))),
-        lambda x: F.array_contains(twice, x["h"]),
-    )
     window = lambda i: F.concat_ws(" ", F.get(words, i), F.get(words, i + 1), F.get(words, i + 2))
     return F.sort_array(
         F.transform(at, lambda x: F.struct(window(x["i"]).alias("s"), x["i"].alias("i")))
@@ -74,11 +83,7 @@ def _suspects(words: Column, hashes: Column, twice: Column) -> Column:
 
 def _repeats(ordered: Column) -> Column:
     """Start positions, ascending, of windows equal to a neighbour in ``ordered``."""
-    twice = F.filter(
-        ordered,
-        lambda x, k: F.coalesce(x["s"] == F.get(ordered, k + 1)["s"], F.lit(False))
-        | ((k > 0) & (x["s"] == F.get(ordered, F.greatest(k - 1, F.lit(0)))["s"])),
-    )
+    twice = F.filter(ordered, _beside(ordered, lambda x: x["s"]))
     return F.sort_array(F.transform(twice, lambda x: x["i"]))
 
 
@@ -96,12 +101,18 @@ def with_repeats(df: DataFrame, words: str, out: str) -> DataFrame:
     some = F.size(F.array_distinct("_q_hashes")) < F.size("_q_hashes")
     df = df.withColumn("_q_sorted", F.when(some, F.sort_array("_q_hashes")).otherwise(F.array()))
     df = df.withColumn("_q_twice", _twice(F.col("_q_sorted")))
-    none = F.array().cast("array<struct<s:string,i:int>>")
-    suspects = _suspects(F.col(words), F.col("_q_hashes"), F.col("_q_twice"))
-    df = df.withColumn("_q_ordered", F.when(F.size("_q_twice") > 0, suspects).otherwise(none))
+    none = F.array().cast("array<struct<h:bigint,i:int>>")
+    placed = F.transform("_q_hashes", lambda h, i: F.struct(h.alias("h"), i.alias("i")))
+    many = F.size("_q_twice") > FEW_TWICE
+    df = df.withColumn("_q_placed", F.when(many, F.sort_array(placed)).otherwise(none))
+    few = F.filter(placed, lambda x: F.array_contains("_q_twice", x["h"]))
+    sorted_out = F.filter("_q_placed", _beside(F.col("_q_placed"), lambda x: x["h"]))
+    at = F.when(many, sorted_out).when(F.size("_q_twice") > 0, few).otherwise(none)
+    df = df.withColumn("_q_at", at)
+    df = df.withColumn("_q_ordered", _windows(F.col(words), F.col("_q_at")))
     df = df.withColumn("_q_starts", _repeats(F.col("_q_ordered")))
     df = df.withColumn(out, _covered(F.col("_q_starts")))
-    return df.drop("_q_hashes", "_q_sorted", "_q_twice", "_q_ordered", "_q_starts")
+    return df.drop("_q_hashes", "_q_sorted", "_q_twice", "_q_placed", "_q_at", "_q_ordered", "_q_starts")
 
 
 def word_cells(words: Column, cells: int) -> Column:
@@ -129,42 +140,71 @@ def _class_names(prefix: str) -> list[str]:
     return [f"{prefix}{i}" for i in range(len(CLASSES) + 1)]
 
 
-def _reference_texts(docs: DataFrame, rules: QualityRules) -> DataFrame:
-    """Language, class counts and word cells of the texts that make the references.
-
-    With ``distinct_texts``, those that pass the base rules, each once per language. Copies are put together before anything is shuffled, and a text travels as its hash and cells.
-    """
-    lang = F.coalesce("lang", F.lit("")).alias("lang")
-    text = docs.select(lang, F.col("text"), words_of(F.col("text")).alias("words"))
-    text = text.filter(F.size("words") >= rules.min_words)
-    if rules.distinct_texts:
-        text = with_repeats(text, "words", "repeats")
-        passed = 100 * F.col("repeats") <= rules.max_repeat_percent * F.size("words")
-        # Not deterministic, for the reason given in ``keep_good``.
-        text = text.withColumn("passed", passed & (F.monotonically_increasing_id() >= 0)).filter("passed")
+def _measured(docs: DataFrame, names: Sequence[str], rules: QualityRules) -> DataFrame:
+    """The columns ``names``, the language, and all that is read off a row's own text: counts, class counts,
+    word cells and hash. Everything later rests on these, so that each text is taken apart once."""
+    text = F.col("_q_text")
+    df = docs.select(
+        *names,
+        F.coalesce("lang", F.lit("")).alias("_q_lang"),
+        F.coalesce("text", F.lit("")).alias("_q_text"),
+    )
+    df = df.withColumn("_q_words", words_of(text))
+    df = with_repeats(df, "_q_words", "_q_repeat")
+    df = df.withColumn("_q_lines", F.filter(F.split(text, "\n"), lambda x: x.rlike("[^ \\t-\\r]")))
+    df = _class_counts(df, text, "_q_c")
     small = "array<smallint>" if rules.cells <= 1 << 15 else "array<int>"
-    cells = word_cells(F.col("words"), rules.cells).cast(small).alias("cells")
-    text = text.select("lang", "text", F.xxhash64("text").alias("text_hash"), cells)
-    text = _class_counts(text, F.col("text"), "c")
-    text = text.select("lang", "text_hash", *_class_names("c"), "cells")
-    return text.distinct() if rules.distinct_texts else text
+    return df.select(
+        *names,
+        "_q_lang",
+        F.xxhash64(text).alias("_q_hash"),
+        word_cells(F.col("_q_words"), rules.cells).cast(small).alias("_q_cells"),
+        *_class_names("_q_c"),
+        F.size("_q_words").cast("long").alias("n_words"),
+        (F.length(text) - F.col("_q_c1")).cast("long").alias("word_chars"),
+        F.length(F.regexp_replace(text, SYMBOLS, "")).cast("long").alias("n_symbols"),
+        (F.size("_q_lines") - F.size(F.array_distinct("_q_lines"))).cast("long").alias("n_dup_lines"),
+        F.col("_q_repeat").alias("n_repeat_words"),
+    )
 
 
-def language_references(docs: DataFrame, rules: QualityRules) -> DataFrame:
+def _base_failed(rules: QualityRules) -> Column:
+    return (F.col("n_words") < rules.min_words) | (
+        100 * F.col("n_repeat_words") > rules.max_repeat_percent * F.col("n_words")
+    )
+
+
+def language_references(measured: DataFrame, rules: QualityRules) -> DataFrame:
     """Per language: class_shares, the place of each cell among the common ones (0: none), and their
-    common_shares. A null language is one; a language without reference texts has no row."""
-    texts = _reference_texts(docs, rules)
-    cells = texts.select("lang", F.explode("cells").alias("cell"))
-    # Classes go along as cells below zero, so that both sums read one shuffle of the texts.
-    sums = texts.groupBy("lang").agg(*[F.sum(c).alias(c) for c in _class_names("c")])
+    common_shares. A null language is one; a language without reference texts has no row.
+
+    With ``distinct_texts``, the texts that pass the base rules count once per language. Copies are told
+    by their hash, and put together before they are shuffled.
+    """
+    texts = measured.filter(F.col("n_words") >= rules.min_words)
+    if rules.distinct_texts:
+        texts = texts.filter(~_base_failed(rules))
+    texts = texts.select(
+        F.col("_q_lang").alias("lang"), F.col("_q_hash").alias("text_hash"),
+        *[F.col(f"_q_c{i}").alias(f"c{i}") for i in range(len(CLASSES) + 1)],
+        F.col("_q_cells").alias("cells"),
+    )
+    if rules.distinct_texts:
+        texts = texts.distinct()
+    # Classes go along as cells below zero, so that one pass counts both.
+    one = F.lit(1).cast("long").alias("n")
+    words = F.transform("cells", lambda c: F.struct(c.cast("int").alias("cell"), one))
     kinds = F.array(
-        *[F.struct(F.lit(-1 - i).alias("cell"), F.col(c).alias("n")) for i, c in enumerate(_class_names("c"))]
+        *[
+            F.struct(F.lit(-1 - i).alias("cell"), F.col(c).cast("long").alias("n"))
+            for i, c in enumerate(_class_names("c"))
+        ]
     )
-    counts = cells.groupBy("lang", "cell").agg(F.count("*").alias("n"))
-    counts = counts.withColumn("cell", F.col("cell").cast("int"))
-    both = spill(counts.unionByName(sums.select("lang", F.inline(kinds))), "cells")  # at most ``cells`` rows per language, and the classes
+    cells = texts.select("lang", F.inline(F.concat(words, kinds)))
+    both = cells.groupBy("lang", "cell").agg(F.sum("n").alias("n"))
+    both = spill(both, "cells")  # at most ``cells`` rows per language, and the classes
     counts, kinds = both.filter("cell >= 0"), both.filter("cell < 0")
-    n_of = [F.sum(F.when(F.col("cell") == -1 - i, F.col("n"))) for i in range(len(_class_names("c")))]
+    n_of = [F.sum(F.when(F.col("cell") == -1 - i, F.col("n"))) for i in range(len(CLASSES) + 1)]
     classes = kinds.groupBy("lang").agg(F.array(*[n / F.sum("n") for n in n_of]).alias("class_shares"))
     totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))
     common = (
@@ -233,47 +273,35 @@ def _word_distance(df: DataFrame) -> DataFrame:
     return df.withColumn("_q_word_distance", F.sqrt(total))
 
 
-def score_quality(docs: DataFrame, rules: QualityRules = QualityRules()) -> DataFrame:
+def score_quality(
+    docs: DataFrame, rules: QualityRules = QualityRules(), keep: Sequence[str] | None = None
+) -> DataFrame:
     """``docs`` (text, lang and any others) with the counts, both distances and the verdict.
 
     Added: n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, char_distance,
-    word_distance, kept. A null text counts as empty, and so fails for want of words. Distances are
+    word_distance, kept. ``keep`` names the columns of ``docs`` to carry along, by default all. A null
+    text counts as empty, and so fails for want of words. Distances are
     null (and no reason to drop) for texts under ``min_words`` or ``min_chars`` and where the
-    language has no reference texts, and the word distance also where it has no common words. A null language is a language of its own.
+    language has no reference texts, and the word distance also where it has no common words. A null
+    language is a language of its own. Very long texts are taken whole, in time n log n. A distance
+    equal to its limit passes.
     Repeated rows get equal verdicts; an empty table gives none. Columns of ``docs`` that have one
     of the added names are replaced; columns starting with ``_q_`` are reserved.
     """
     rules_out = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     rules_out += ["base_failed", "char_distance", "word_distance", "kept"]
-    names = [c for c in docs.columns if c.lower() not in rules_out]
-    references = spill(language_references(docs, rules), "references")
+    names = [c for c in (docs.columns if keep is None else keep) if c.lower() not in rules_out]
+    measured = spill(_measured(docs, names, rules), "measured")
+    references = spill(language_references(measured, rules), "references")
     small = references.count() <= rules.max_languages  # of at most 1 / common_share words each
     references = references.select(
         F.col("lang").alias("_q_ref"),
         *[F.col(c).alias(f"_q_{c}") for c in ("class_shares", "place", "common_shares")],
     )
-    text = F.col("_q_text")
-    df = docs.select(*names, F.coalesce("text", F.lit("")).alias("_q_text"))
-    df = df.withColumn("_q_words", words_of(text))
-    df = df.withColumn("_q_n_words", F.size("_q_words"))
-    df = with_repeats(df, "_q_words", "_q_repeat")
-    df = df.withColumn("_q_lines", F.filter(F.split(text, "\n"), lambda x: x.rlike("[^ \\t-\\r]")))
-    df = _class_counts(df, text, "_q_c")
-    n_words = F.col("_q_n_words").cast("long")
-    df = df.select(
-        *names,
-        word_cells(F.col("_q_words"), rules.cells).alias("_q_cells"),
-        "_q_n_words",
-        *_class_names("_q_c"),
-        n_words.alias("n_words"),
-        (F.length(text) - F.col("_q_c1")).cast("long").alias("word_chars"),
-        F.length(F.regexp_replace(text, SYMBOLS, "")).cast("long").alias("n_symbols"),
-        (F.size("_q_lines") - F.size(F.array_distinct("_q_lines"))).cast("long").alias("n_dup_lines"),
-        F.col("_q_repeat").alias("n_repeat_words"),
-    )
-    on = F.coalesce(F.col("lang"), F.lit("")) == F.col("_q_ref")
+    df = measured.withColumn("_q_n_words", F.col("n_words"))
+    on = F.col("_q_lang") == F.col("_q_ref")
     df = df.join(F.broadcast(references) if small else references, on, "left")
-    df = df.withColumn("_q_places", F.transform("_q_cells", lambda c: F.get("_q_place", c)))
+    df = df.withColumn("_q_places", F.transform("_q_cells", lambda c: F.get("_q_place", c.cast("int"))))
     df = df.withColumn("_q_hits", F.sort_array(F.filter("_q_places", lambda x: x > 0)))
     df = df.drop("_q_cells", "_q_places", "_q_place")
     df = _word_distance(df)
@@ -285,10 +313,7 @@ def score_quality(docs: DataFrame, rules: QualityRules = QualityRules()) -> Data
         ]
     )
     long_enough = (F.col("n_words") >= rules.min_words) & (chars >= rules.min_chars)
-    base_failed = (F.col("n_words") < rules.min_words) | (
-        100 * F.col("n_repeat_words") > rules.max_repeat_percent * F.col("n_words")
-    )
-    df = df.withColumn("base_failed", base_failed)
+    df = df.withColumn("base_failed", _base_failed(rules))
     compared = long_enough & F.col("_q_class_shares").isNotNull()
     df = df.withColumn("char_distance", F.when(compared, F.round(_distance(parts), 6)))
     compared = long_enough & F.col("_q_common_shares").isNotNull()
@@ -302,8 +327,6 @@ def score_quality(docs: DataFrame, rules: QualityRules = QualityRules()) -> Data
 def keep_good(docs: DataFrame, rules: QualityRules = CORPUS_RULES) -> DataFrame:
     """The rows of ``docs`` that the rules keep, with their own columns only."""
     packed = docs.select(F.struct(*docs.columns).alias("_row"), "text", "lang")
-    # A deterministic verdict would be pushed down into the scan, and be worked out there from the
-    # text anew for every column it rests on; this one stays where it is and is worked out once.
-    verdict = F.col("kept") & (F.monotonically_increasing_id() >= 0)
-    scored = score_quality(packed, rules).withColumn("kept", verdict)
+    # Written, because a filter on the verdict would be planned as all that the verdict rests on.
+    scored = spill(score_quality(packed, rules, keep=["_row"]).select("_row", "kept"), "scored")
     return scored.filter("kept").select("_row.*")

@@ -69,8 +69,7 @@ def op4_reshard_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored = score_quality(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), CORPUS_RULES)
-    return scored.drop("text", "lang")
+    return score_quality(table(spark, sf_dir, "documents"), CORPUS_RULES, keep=["doc_id"])
 
 
 def op6_toxicity_ftrl(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -97,15 +97,18 @@ def word_cells(text, cells):
 def quality_kept(rows, rules):
     """{doc_id: kept} of (doc_id, text, lang) rows."""
     shares, commons = defaultdict(lambda: np.zeros(7)), defaultdict(Counter)
-    for _, text, lang in rows:
+    used = [(lang or "", text or "") for _, text, lang in rows]
+    if rules.distinct_texts:
+        used = {(lang, text) for lang, text in used if not quality_counts(text)[-1]}
+    for lang, text in used:
         if len(words(text)) >= rules.min_words:
             shares[lang or ""] += class_counts(text)
             commons[lang or ""].update(word_cells(text, rules.cells))
     out = {}
     for doc, text, lang in rows:
         counts, failed = class_counts(text), quality_counts(text)[-1]
-        near = True
-        if len(words(text)) >= rules.min_words and counts.sum() >= rules.min_chars:
+        near, known = True, (lang or "") in shares
+        if known and len(words(text)) >= rules.min_words and counts.sum() >= rules.min_chars:
             reference = shares[lang or ""] / shares[lang or ""].sum()
             all_cells, total = commons[lang or ""], sum(commons[lang or ""].values())
             common = [c for c in all_cells if all_cells[c] >= rules.common_share * total]

@@ -49,6 +49,29 @@ def test_quality_against_the_plain_version(spark, plan):
     assert {d: r.kept for d, r in found.items()} == kept and len(set(kept.values())) == 2
 
 
+def test_registered_rules_against_the_plain_version(spark):
+    """On whole test tables and on rows with copies, the rules of the query and the first stage."""
+    tables = [corpus(80) + corpus(80)[:30] * 3]
+    documents = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    tables.append([tuple(r) for r in documents.select("doc_id", "text", "lang", "source").collect()])
+    for rows in tables:
+        rows = [(i, *r[1:]) for i, r in enumerate(rows)]
+        docs = spark.createDataFrame(rows, DOCS).repartition(3)
+        want = brute.quality_kept([r[:3] for r in rows], CORPUS_RULES)
+        found = score_quality(docs, CORPUS_RULES, keep=["doc_id"]).collect()
+        assert {r.doc_id: r.kept for r in found} == want and len(set(want.values())) == 2
+        assert {r.doc_id for r in keep_good(docs).collect()} == {d for d, good in want.items() if good}
+
+
+def test_a_very_long_text_that_repeats(spark):
+    rng = random.Random(9)
+    words = ["".join(rng.choices("abcdefghij", k=6)) for _ in range(90_000)]
+    rows = [(1, " ".join(words * 2), "en", "s"), (2, " ".join(words), "en", "s"), (3, "a b " * 200_000, "en", "s")]
+    found = {r.doc_id: r for r in score_quality(spark.createDataFrame(rows, DOCS)).collect()}
+    counts = [(found[i].n_words, found[i].n_repeat_words) for i in (1, 2, 3)]
+    assert counts == [(180_000, 180_000), (90_000, 0), (400_000, 400_000)]
+
+
 def test_copies_are_one_text_in_the_references(spark):
     """A third of the rows copies of one text, another third one that fails the base rules."""
     rng = random.Random(6)

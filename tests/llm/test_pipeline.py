@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from marketframe.llm.mixing import Mixture
-from marketframe.llm.quality import QualityRules
+from marketframe.llm.quality import CORPUS_RULES
 from marketframe.llm.queries import QUERIES, tokenizer_path
 
 SF = "/root/testdata/sf0.001"
@@ -18,7 +18,7 @@ def plain(docs, items):
     """Rows that the stages should give, from (doc_id, text, lang, source) rows."""
     from tokenizers import Tokenizer
 
-    kept = brute.quality_kept([d[:3] for d in docs], QualityRules())
+    kept = brute.quality_kept([d[:3] for d in docs], CORPUS_RULES)
     docs = [d for d in docs if kept[d[0]]]
     component = brute.near_duplicates([d[:2] for d in docs])
     docs = [d for d in docs if component[d[0]] == d[0]]
