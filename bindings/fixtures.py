@@ -131,3 +131,12 @@ def description_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON description texts, one document per row."""
     entry = F.create_map("coin_id", "description")
     return descriptions(spark, sf_dir).select(F.to_json(entry).alias("value"))
+
+
+def write_one_document(documents: DataFrame, path: str) -> str:
+    """All JSON objects of ``documents`` (value) as one object in one file of many lines."""
+    lines = documents.coalesce(1)
+    before = F.when(F.monotonically_increasing_id() == 0, "{").otherwise(",")
+    entries = lines.select(F.concat(before, F.expr("substring(value, 2, length(value) - 2)")).alias("value"))
+    entries.unionByName(documents.sparkSession.createDataFrame([("}",)], "value string")).coalesce(1).write.text(path)
+    return path

@@ -444,4 +444,9 @@ ORACLES: dict[str, str] = {
                        select coin_id, date '2024-01-31' from ({_DAILY}) d) u) as prices,
                    cast(6 as bigint) as runs""",
     ),
+    "history_document": _with(["points"], "select * from points"),
+    "history_document_coin": _with(
+        ["points"], "select * from points where coin_id in ('coin_1', 'coin_22', 'none')"
+    ),
+    "description_document": _with(["texts"], "select * from texts"),
 }

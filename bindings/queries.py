@@ -24,6 +24,8 @@ from marketframe.sources import (
     malformed_documents,
     read_coin_details,
     read_curated,
+    read_description_document,
+    read_history_document,
     read_market,
     read_runs,
     write_curated,
@@ -393,6 +395,26 @@ def views_after_second_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prices.withColumn("runs", runs.scalar())
 
 
+def history_document(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All history as one file of many lines, read in byte ranges."""
+    path = fx.write_one_document(
+        fx.history_documents(spark, sf_dir), f"{scratch_dir(spark, 'document')}/landed"
+    )
+    return read_history_document(spark, path, range_bytes=1 << 18)
+
+
+def history_document_coin(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Some coins of that file; their names reach the reader."""
+    return history_document(spark, sf_dir).filter(F.col("coin_id").isin("coin_1", "coin_22", "none"))
+
+
+def description_document(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fx.write_one_document(
+        fx.description_documents(spark, sf_dir), f"{scratch_dir(spark, 'texts')}/landed"
+    )
+    return read_description_document(spark, path, range_bytes=1 << 18)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -449,5 +471,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         enrich_job,
         job_run_log,
         views_after_second_run,
+        history_document,
+        history_document_coin,
+        description_document,
     )
 }

@@ -1,5 +1,6 @@
 from marketframe.sources.curated import read_curated, read_valid, write_curated
 from marketframe.sources.database import jdbc_properties, write_staging
+from marketframe.sources.documents import read_description_document, read_history_document
 from marketframe.sources.landed import (
     malformed_documents,
     read_malformed,
@@ -30,8 +31,10 @@ __all__ = [
     "read_coin_details",
     "read_coin_list",
     "read_curated",
+    "read_description_document",
     "read_descriptions",
     "read_history",
+    "read_history_document",
     "read_market",
     "read_runs",
     "read_table",
