@@ -32,9 +32,12 @@ from marketframe.operators.merge import (
     upsert_fact,
 )
 from marketframe.operators.monitor import (
+    coin_months,
     date_series,
     large_moves,
+    merge_coverage,
     missing_dates,
+    missing_from_coverage,
     pipeline_health,
     price_anomalies,
     recent_gaps,
@@ -50,7 +53,9 @@ from marketframe.operators.quality import (
     quality_report,
     rejected_rows,
     range_filter,
+    report_counts,
     report_dict,
+    report_of,
     valid_rows,
 )
 
@@ -63,6 +68,7 @@ __all__ = [
     "clean_descriptions",
     "clean_history",
     "clean_snapshot",
+    "coin_months",
     "date_series",
     "default_now",
     "description_update_counts",
@@ -75,7 +81,9 @@ __all__ = [
     "gate_rows",
     "large_moves",
     "latest_per_key",
+    "merge_coverage",
     "missing_dates",
+    "missing_from_coverage",
     "null_filter",
     "null_profile",
     "orphan_counts",
@@ -88,7 +96,9 @@ __all__ = [
     "range_filter",
     "recent_gaps",
     "register_views",
+    "report_counts",
     "report_dict",
+    "report_of",
     "require_rows",
     "run_log_rules",
     "rejected_rows",

@@ -51,22 +51,45 @@ def date_series(fact: DataFrame, as_of: date | str | None = None) -> DataFrame:
     return first.select(F.explode(days).alias("expected_date"))
 
 
+def coin_months(fact: DataFrame) -> DataFrame:
+    """Per coin and month the days with a price, as a bit set, and the first of them.
+
+    Days shrink to sets before any shuffle, so that a thirtieth of the rows travels.
+    """
+    day = F.col("price_date")
+    bit = F.call_function("shiftleft", F.lit(1), F.dayofmonth(day) - 1)
+    grouped = fact.groupBy("coin_id", month_of(day).alias(schemas.FACT_PARTITION))
+    return grouped.agg(F.bit_or(bit).alias("present"), F.min(day).alias("earliest"))
+
+
+def merge_coverage(target: DataFrame, source: DataFrame) -> DataFrame:
+    """Sets of the same coin and month become one."""
+    both = target.unionByName(source.select(*target.columns))
+    return both.groupBy("coin_id", schemas.FACT_PARTITION).agg(
+        F.bit_or("present").alias("present"), F.min("earliest").alias("earliest")
+    )
+
+
 def missing_dates(
     dim: DataFrame, fact: DataFrame, as_of: date | str | None = None
 ) -> DataFrame:
     """Dates without a price, for each coin of ``dim`` that has any price.
 
     The span runs from the first date of the whole table to ``as_of``, the same for all coins.
+    """
+    return missing_from_coverage(dim, coin_months(fact), as_of)
+
+
+def missing_from_coverage(
+    dim: DataFrame, months: DataFrame, as_of: date | str | None = None
+) -> DataFrame:
+    """``missing_dates`` from the sets of days per coin and month.
 
-    Days first shrink to one bit set per coin and month, before any shuffle, so that a thirtieth of
-    the rows travels and a coin's window holds months. Absent days then come from incomplete
-    months and from gaps between months; complete months are never expanded.
+    A coin's window holds months. Absent days come from incomplete months and from gaps between
+    months; complete months are never expanded.
     """
     last = F.lit(as_date(as_of))
-    day = F.col("price_date")
-    bit = F.call_function("shiftleft", F.lit(1), F.dayofmonth(day) - 1)
-    coin_month = fact.groupBy("coin_id", month_of(day).alias("month"))
-    months = coin_month.agg(F.bit_or(bit).alias("present"), F.min(day).alias("earliest"))
+    months = months.withColumnRenamed(schemas.FACT_PARTITION, "month")
     # Both columns are asked for, so that the subquery is the same aggregation and reuses its exchange.
     first = months.agg(F.min(F.struct("earliest", "present"))["earliest"]).scalar()
     month = F.col("month")
@@ -117,14 +140,19 @@ def register_views(
     fact: DataFrame,
     run_log: DataFrame,
     as_of: date | str | None = None,
+    months: DataFrame | None = None,
 ) -> None:
-    """Tables and monitoring views under their SQL names, for ``spark.sql``."""
+    """Tables and monitoring views under their SQL names, for ``spark.sql``.
+
+    ``months``: kept sets of days, from which missing dates are read instead of from the prices.
+    """
+    months = coin_months(fact) if months is None else months
     views = {
         "dim_coins": ensure_column(dim, "description").select(*schemas.DIM.names),
         "fact_coin_prices": fact.select(*schemas.FACT.names),
         "pipeline_run_log": run_log,
         "v_price_anomalies": price_anomalies(fact, as_of),
-        "v_missing_dates": missing_dates(dim, fact, as_of),
+        "v_missing_dates": missing_from_coverage(dim, months, as_of),
         "v_pipeline_health": pipeline_health(run_log),
     }
     for name, view in views.items():

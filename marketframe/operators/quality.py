@@ -8,6 +8,7 @@ it and the report is a sum over it. Written once, it serves both without a secon
 import logging
 from collections.abc import Sequence
 from datetime import datetime
+from decimal import ROUND_HALF_UP, Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -137,29 +138,38 @@ def valid_rows(gated: DataFrame) -> DataFrame:
     return gated.filter(VALID).drop(*counters)
 
 
-def quality_report(
-    gated: DataFrame,
-    threshold: float = schemas.PASS_MARK,
-    run_time: datetime | str | None = None,
-) -> DataFrame:
-    """One row of counts by cause, NULLs by column, score in percent and pass mark.
+def _profiled(columns: Sequence[str]) -> list[str]:
+    return [name.removeprefix(NULLS) for name in columns if name.startswith(NULLS)]
 
-    The score is rounded before it is compared, so 79.996 % passes a mark of 80.
-    """
-    profiled = [name.removeprefix(NULLS) for name in gated.columns if name.startswith(NULLS)]
+
+def report_counts(gated: DataFrame) -> list[Column]:
+    """The sums over ``gate_keys`` that a report rests on; they can ride along with its write."""
 
     def total(name: str) -> Column:
         return F.coalesce(F.sum(name), F.lit(0))
 
-    sums = gated.agg(
+    return [
         total(ROWS).alias("total_raw"),
         total(COMPLETE).alias("complete"),
         F.count_if(F.col(COMPLETE) > 0).alias("distinct_keys"),
         F.count_if(VALID).alias("total_valid"),
-        *[total(NULLS + name).alias(NULLS + name) for name in profiled],
-    )
+        *[total(NULLS + name).alias(NULLS + name) for name in _profiled(gated.columns)],
+    ]
+
+
+def quality_report(
+    gated: DataFrame,
+    threshold: float = schemas.PASS_MARK,
+    run_time: datetime | str | None = None,
+) -> DataFrame:
+    """One row of counts by cause, NULLs by column, score in percent and pass mark.
+
+    The score is rounded before it is compared, so 79.996 % passes a mark of 80.
+    """
+    sums = gated.agg(*report_counts(gated))
     score = F.round(F.col("total_valid") / F.col("total_raw") * 100, 2)
-    null_counts = [part for name in profiled for part in (F.lit(name), F.col(NULLS + name))]
+    names = _profiled(gated.columns)
+    null_counts = [part for name in names for part in (F.lit(name), F.col(NULLS + name))]
     report = sums.select(
         timestamp_literal(as_timestamp(run_time)).alias("run_time"),
         "total_raw",
@@ -174,6 +184,29 @@ def quality_report(
     return report.withColumn("passed", F.col("quality_score_pct") >= threshold)
 
 
+def report_of(
+    counts: dict[str, int],
+    threshold: float = schemas.PASS_MARK,
+    run_time: datetime | str | None = None,
+) -> dict:
+    """The report as a dictionary, from the values of ``report_counts``."""
+    raw, valid = counts["total_raw"], counts["total_valid"]
+    share = Decimal(repr(valid / raw * 100)) if raw else Decimal(0)
+    score = float(share.quantize(Decimal("0.01"), ROUND_HALF_UP))
+    return {
+        "run_time": as_timestamp(run_time),
+        "total_raw": raw,
+        "total_valid": valid,
+        "total_dropped": raw - valid,
+        "rows_dropped_null": raw - counts["complete"],
+        "rows_dropped_dup": counts["complete"] - counts["distinct_keys"],
+        "rows_dropped_range": counts["distinct_keys"] - valid,
+        "null_counts": {name: counts[NULLS + name] for name in _profiled(list(counts))},
+        "quality_score_pct": score,
+        "passed": score >= threshold,
+    }
+
+
 def gate_rows(
     df: DataFrame,
     keys: Sequence[str] = schemas.FACT_KEYS,

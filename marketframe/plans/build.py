@@ -2,7 +2,8 @@
 
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from marketframe import schemas
 from marketframe.operators import (
@@ -11,14 +12,22 @@ from marketframe.operators import (
     clean_snapshot,
     enforce_quality,
     gate_keys,
-    quality_report,
-    report_dict,
-    require_rows,
+    report_counts,
+    report_of,
     select_backfill,
     valid_rows,
 )
 from marketframe.operators.quality import VALID
-from marketframe.sources import read_curated, write_curated
+from marketframe.sources import write_curated
+
+
+def _observed(df: DataFrame, *counts: Column) -> tuple[DataFrame, Observation]:
+    """``df`` with counts that ride along with the action on it.
+
+    They are taken in the stage of that action, where a repeated task counts once.
+    """
+    observation = Observation()
+    return df.observe(observation, *counts), observation
 
 
 def build_dimension(
@@ -29,25 +38,24 @@ def build_dimension(
     fmt: str = "parquet",
 ) -> str:
     """Curated dimension at ``out``; raises when the list is empty."""
-    write_curated(clean_coins(raw, run_ts), out, fmt)
-    require_rows(read_curated(spark, out, schemas.CURATED_DIM, fmt), out)
+    cleaned, seen = _observed(clean_coins(raw, run_ts), F.count(F.lit(1)).alias("coins"))
+    write_curated(cleaned, out, fmt)
+    if not seen.get["coins"]:
+        raise ValueError(f"no data found in {out}")
     return out
 
 
 def _gate(
     spark: SparkSession, cleaned: DataFrame, out: str, columns: list[str], fmt: str, on_fail: str
 ) -> dict:
-    """Run the gate once and write it, split by ``valid``; rows and report both come from the files.
-
-    Counters read back from files are exact also when tasks were repeated, which accumulators
-    would not be.
-    """
+    """Run the gate once and write it, split by ``valid``; the report's counts ride along."""
     gated_path = out if fmt == "parquet" else f"{out}/gate"
     gated = gate_keys(cleaned)
-    gated.write.mode("overwrite").partitionBy(VALID).parquet(gated_path)
-    written = spark.read.schema(gated.schema).parquet(gated_path)
-    report = enforce_quality(report_dict(quality_report(written)), on_fail)
+    counted, seen = _observed(gated, *report_counts(gated))
+    counted.write.mode("overwrite").partitionBy(VALID).parquet(gated_path)
+    report = enforce_quality(report_of(seen.get), on_fail)
     if fmt != "parquet":
+        written = spark.read.schema(gated.schema).parquet(gated_path)
         write_curated(valid_rows(written).select(*columns), f"{out}/rows", fmt)
     return {"output_dir": out, "quality_report": report}
 
@@ -89,6 +97,7 @@ def build_history(
         cleaned = select_backfill(cleaned, **selection)
     result = _gate(spark, cleaned, out, schemas.CURATED_HISTORY.names, fmt, on_fail)
     report = result["quality_report"]
+    # Counted apart: a count taken before the gate's shuffle would count repeated tasks twice.
     report["total_unselected"] = landed.count() - report["total_raw"] if named else 0
     if not report["total_raw"]:
         raise ValueError("no data found in price history")

@@ -22,8 +22,10 @@ from marketframe.sources import (
     RunLog,
     read_coin_list,
     read_curated,
+    read_description_document,
     read_descriptions,
     read_history,
+    read_history_document,
     read_malformed,
     read_market,
     read_runs,
@@ -42,6 +44,18 @@ class Landing:
     descriptions: str | None = None
     multi_line: bool = True
     mode: str = "FAILFAST"  # PERMISSIVE sets malformed history and description texts aside
+    # Whole documents of history and descriptions are read in ranges of so many bytes.
+    range_bytes: int | None = None
+
+    def read_points(self, spark: SparkSession) -> DataFrame:
+        if self.range_bytes is not None:
+            return read_history_document(spark, self.history, self.range_bytes)
+        return read_history(spark, self.history, self.multi_line, self.mode)
+
+    def read_texts(self, spark: SparkSession) -> DataFrame:
+        if self.range_bytes is not None:
+            return read_description_document(spark, self.descriptions, self.range_bytes)
+        return read_descriptions(spark, self.descriptions, self.multi_line, self.mode)
 
 
 @dataclass(frozen=True)
@@ -154,7 +168,7 @@ def run_backfill(
     run = _Run.start(spark, lake, "backfill", as_of, run_ts, run_id)
     with run.log.stage("extraction"):
         coins = read_coin_list(spark, landing.coins, landing.multi_line)
-        points = read_history(spark, landing.history, landing.multi_line, landing.mode)
+        points = landing.read_points(spark)
     with run.log.stage("transformation") as stage:
         dim_path = build_dimension(spark, coins, run.path("dim_coins"), run.run_ts)
         selection = {"coin_ids": coin_ids, "days": days, "as_of": run.as_of}
@@ -191,7 +205,7 @@ def enrich_descriptions(
 ) -> dict[str, int]:
     """On demand, outside the scheduled jobs: landed descriptions onto existing coins."""
     run = _Run.start(spark, lake, "descriptions", run_id=run_id)
-    landed = read_descriptions(spark, landing.descriptions, landing.multi_line, landing.mode)
+    landed = landing.read_texts(spark)
     cleaned = clean_descriptions(landed)
     path = write_curated(cleaned, run.path("texts"))
     counts = load_descriptions(read_curated(spark, path, cleaned.schema), lake, cleaned=True)
@@ -210,12 +224,12 @@ _OPEN: dict[str, list[tuple[SparkSession, date | str | None]]] = {}
 def open_views(spark: SparkSession, lake: Lake, as_of: date | str | None = None) -> None:
     """The lake's tables and monitoring views as SQL views of this session.
 
-    They show the newest commit of each table. Jobs of this process renew them when they end; after
-    a job elsewhere they still show the commit they were opened on, whose files stay, until they
-    are opened again.
+    They show the tables as they were when opened. Jobs of this process renew them when they end; after a
+    job elsewhere they have to be opened again.
     """
     run_log = read_runs(spark, lake.run_log)
-    register_views(spark, lake.read_dim(spark), lake.read_fact(spark), run_log, as_of)
+    months = lake.read_coverage(spark) if lake.keep_coverage else None
+    register_views(spark, lake.read_dim(spark), lake.read_fact(spark), run_log, as_of, months)
     others = [x for x in _OPEN.get(lake.root, []) if x[0] is not spark]
     _OPEN[lake.root] = [*others, (spark, as_of)]
 

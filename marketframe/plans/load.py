@@ -11,9 +11,11 @@ from marketframe.functions import month_of
 from marketframe.operators import (
     assert_rules,
     clean_descriptions,
+    coin_months,
     description_update_counts,
     dim_rules,
     fact_rules,
+    merge_coverage,
     pad_history,
     split_orphans,
     to_fact,
@@ -35,31 +37,49 @@ def load_dimension(curated: DataFrame, lake: Lake) -> None:
         schemas.DIM_PARTITION,
         touched,
         upsert_dim,
+        lake.patience,
     )
 
 
 def _load_fact(
     curated: DataFrame, lake: Lake, null_policy: str, unique: bool, quarantine: str | None
 ) -> None:
-    spark, month = curated.sparkSession, month_of(F.col("price_date"))
+    spark, day = curated.sparkSession, F.col("price_date")
     if quarantine is not None:
         known, orphans = split_orphans(curated, lake.read_dim(spark))
         orphans.write.mode("overwrite").parquet(quarantine)
         curated = known
-    # Rules, orphans and touched months come from one pass over the batch.
+    # Rules, orphans and touched days come from one pass over the batch.
     known = lake.read_dim(spark).select("coin_id", F.lit(True).alias("known"))
     orphan = F.col("coin_id").isNotNull() & F.col("known").isNull()
     rules = {**fact_rules(), "coin_id is not in dim_coins": orphan}
-    checked = curated.join(known, "coin_id", "left")
-    touched = assert_rules(checked, rules, "fact_coin_prices", month, F.col("coin_id"))
+    if quarantine is None:
+        checked = curated.join(known, "coin_id", "left")
+    else:
+        checked = curated.withColumn("known", F.lit(True))
+    touched = assert_rules(checked, rules, "fact_coin_prices", day, F.col("coin_id"))
+    rows = to_fact(curated, unique).withColumn(schemas.FACT_PARTITION, month_of(day))
+    # One file for a day of the batch, or several of the advised size; the table's rows stay in place.
+    rows = rows.withColumn(schemas.FACT_DAY, day).hint("rebalance", schemas.FACT_DAY)
     merge_partitions(
-        lambda: lake.read_fact(spark),
-        to_fact(curated, unique).withColumn(schemas.FACT_PARTITION, month),
+        lambda: lake.read_fact_days(spark),
+        rows,
         lake.fact,
-        schemas.FACT_PARTITION,
+        [schemas.FACT_PARTITION, schemas.FACT_DAY],
         touched,
         lambda target, source: upsert_fact(target, source, null_policy),
+        lake.patience,
     )
+    if lake.keep_coverage:
+        merge_partitions(
+            lambda: lake.read_coverage(spark),
+            coin_months(curated),
+            lake.coverage,
+            schemas.FACT_PARTITION,
+            sorted({d.replace(day=1) for d in touched}),
+            merge_coverage,
+            lake.patience,
+        )
 
 
 def load_snapshot(
@@ -104,5 +124,6 @@ def load_descriptions(
         schemas.DIM_PARTITION,
         touched,
         update_descriptions,
+        lake.patience,
     )
     return counts

@@ -74,12 +74,16 @@ RUN_LOG = _struct(
     error_message=T.StringType(),
 )
 
+# Days of a month with a price, as bits from the first day on, and the first of them.
+COVERAGE = _struct(coin_id=T.StringType(), present=T.IntegerType(), earliest=T.DateType())
+
 FACT_KEYS = ["coin_id", "price_date"]
 FACT_MEASURES = ["price_usd", "market_cap_usd", "volume_24h_usd", "processed_at"]
 CRITICAL_COLUMNS = ["coin_id", "price_date", "price_usd"]
 
 # Storage partition columns, derived from the key so a row never moves between partitions.
 FACT_PARTITION = "price_month"
+FACT_DAY = "price_day"  # the day itself once more, below its month
 DIM_PARTITION = "coin_bucket"
 DIM_BUCKETS = 16
 

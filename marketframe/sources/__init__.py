@@ -12,8 +12,8 @@ from marketframe.sources.landed import (
     read_history,
     read_market,
 )
-from marketframe.sources.commits import ConcurrentMergeError, remove_old_files
 from marketframe.sources.lake import Lake, merge_partitions, read_table
+from marketframe.sources.lease import TableBusyError
 from marketframe.sources.runlog import RunLog, append_runs, read_runs
 
 __all__ = [
@@ -25,9 +25,8 @@ __all__ = [
     "flatten_descriptions",
     "flatten_history",
     "jdbc_properties",
-    "ConcurrentMergeError",
+    "TableBusyError",
     "merge_partitions",
-    "remove_old_files",
     "read_coin_details",
     "read_coin_list",
     "read_curated",

@@ -1,28 +1,36 @@
-"""The durable tables: partitioned parquet, changed one partition at a time, by numbered commits."""
+"""The durable tables: partitioned parquet, changed a few partitions at a time.
+
+A merge reads the partitions that its batch touches and writes them anew by Spark's dynamic partition
+overwrite: files go to a staging folder and take the partitions' places when all tasks have
+succeeded, so that a failed merge leaves the table as it was. One writer at a time holds the table.
+"""
 
 import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marketframe import schemas
-from marketframe.sources.commits import (
-    ConcurrentMergeError,
-    delete_folder,
-    list_names,
-    newest_commit,
-    publish_commit,
-)
+from marketframe.sources.lease import lease
+
+PATIENCE = 900.0
 
 
 @dataclass(frozen=True)
 class Lake:
-    """Paths below one root folder."""
+    """Paths below one root folder, and how its tables are kept.
+
+    ``patience``: seconds that a writer waits for another one. ``keep_coverage``: loads also keep, for every
+    coin and month, the set of days that have a price.
+    """
 
     root: str
+    patience: float = PATIENCE
+    keep_coverage: bool = False
 
     @property
     def dim(self) -> str:
@@ -32,6 +40,10 @@ class Lake:
     def fact(self) -> str:
         return f"{self.root}/fact_coin_prices"
 
+    @property
+    def coverage(self) -> str:
+        return f"{self.root}/coin_months"
+
     @property
     def run_log(self) -> str:
         return f"{self.root}/pipeline_run_log"
@@ -44,61 +56,56 @@ class Lake:
         return read_table(spark, self.dim, schemas.DIM, schemas.DIM_PARTITION, T.IntegerType())
 
     def read_fact(self, spark: SparkSession) -> DataFrame:
-        return read_table(spark, self.fact, schemas.FACT, schemas.FACT_PARTITION, T.DateType())
+        """Prices with their month; a filter on either reaches the scan."""
+        return self.read_fact_days(spark).drop(schemas.FACT_DAY)
 
+    def read_fact_days(self, spark: SparkSession) -> DataFrame:
+        """Prices with both partition columns, month and day."""
+        stored = T.StructType([*schemas.FACT.fields, T.StructField(schemas.FACT_PARTITION, T.DateType())])
+        return read_table(spark, self.fact, stored, schemas.FACT_DAY, T.DateType())
 
-def bucket_of(coin_id: Column) -> Column:
-    return F.pmod(F.hash(coin_id), F.lit(schemas.DIM_BUCKETS))
+    def read_coverage(self, spark: SparkSession) -> DataFrame:
+        return read_table(spark, self.coverage, schemas.COVERAGE, schemas.FACT_PARTITION, T.DateType())
 
 
-RUN_COLUMN = "run"
+def bucket_of(coin_id: Column) -> Column:
+    return F.pmod(F.hash(coin_id), F.lit(schemas.DIM_BUCKETS))
 
 
 def read_table(
     spark: SparkSession, path: str, schema: T.StructType, partition: str, kind: T.DataType
 ) -> DataFrame:
-    """A table as of its newest commit, its partition column last; one not written yet is empty."""
+    """A table with its (innermost) partition column last; one not written yet is empty."""
     full = T.StructType([*schema.fields, T.StructField(partition, kind)])
-    _, folders = newest_commit(spark, path)
-    if not folders:
+    try:
+        return spark.read.schema(full).parquet(path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
         empty = [F.lit(None).cast(field.dataType).alias(field.name) for field in full]
         return spark.range(1).select(*empty).limit(0)
-    stored = T.StructType([*full.fields, T.StructField(RUN_COLUMN, T.StringType())])
-    paths = [f"{path}/data/{RUN_COLUMN}={run}/{folder}" for folder, run in sorted(folders.items())]
-    read = spark.read.schema(stored).option("basePath", f"{path}/data").parquet(*paths)
-    return read.select(*full.names)
 
 
 def merge_partitions(
     read: Callable[[], DataFrame],
     source: DataFrame,
     path: str,
-    partition: str,
+    partition: str | Sequence[str],
     touched: Sequence[object],
     merge: Callable[[DataFrame, DataFrame], DataFrame],
-    attempts: int = 20,
+    wait: float = PATIENCE,
+    owner: str | None = None,
 ) -> None:
     """Merge ``source`` into the table at ``path``, rewriting only the partitions in ``touched``.
 
-    ``read`` gives the table as it is now; ``touched`` lists the partition values of ``source``, and
-    is bounded by the calendar or the number of buckets, not by rows. New files go to a folder of
-    this run; a commit then says for every partition which run's folder holds it. Commits are
-    numbered, and a number is taken once: a writer that finds its number taken merges again from
-    the state it lost to. Files of earlier commits stay, so that a reader that began with them ends
-    with them; ``remove_old_files`` drops them later.
+    ``read`` gives the table as it is once the lease is held; ``touched`` lists the values of the (last)
+    partition column in ``source``, and is bounded by the calendar or the number of buckets, not by rows. ``merge`` must
+    keep a row in each of these partitions. Raises ``TableBusyError`` if another writer does
+    not finish within ``wait`` seconds.
     """
     spark = source.sparkSession
-    for _ in range(attempts):
-        number, folders = newest_commit(spark, path)
-        merged = merge(read().filter(F.col(partition).isin(*touched)), source)
-        run = uuid.uuid4().hex
-        out = f"{path}/data/{RUN_COLUMN}={run}"
-        merged.write.partitionBy(partition).parquet(out)
-        written = [f for f in list_names(spark, out) if f.startswith(f"{partition}=")]
-        replaced = {f"{partition}={value}" for value in touched}
-        after = {f: r for f, r in folders.items() if f not in replaced}
-        after.update(dict.fromkeys(written, run))
-        if publish_commit(spark, path, number + 1, after):
-            return
-        delete_folder(spark, out)
-    raise ConcurrentMergeError(f"{path}: {attempts} merges lost to other writers")
+    columns = [partition] if isinstance(partition, str) else list(partition)
+    with lease(spark, path, owner or uuid.uuid4().hex, wait):
+        target = read().filter(F.col(columns[-1]).isin(*touched))
+        writer = merge(target, source).write.mode("overwrite").partitionBy(*columns)
+        writer.option("partitionOverwriteMode", "dynamic").parquet(path)

@@ -1,16 +1,17 @@
 import json
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
+from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
 
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marketframe import schemas, scratch_dir
 from marketframe.operators import clean_snapshot
 from marketframe.sources import (
-    ConcurrentMergeError,
     Lake,
     RunLog,
     append_runs,
@@ -27,11 +28,10 @@ from marketframe.sources import (
     read_runs,
     read_table,
     read_valid,
-    remove_old_files,
     write_curated,
     write_staging,
 )
-from marketframe.sources.commits import newest_commit
+from marketframe.sources.lease import TableBusyError, _HadoopFile, lease
 
 
 @pytest.fixture
@@ -130,52 +130,66 @@ def small_table(spark, tmp_path):
     def read():
         return read_table(spark, path, schema, "p", T.IntegerType())
 
-    def merge(rows, touched, how=lambda old, new: old.unionByName(new), attempts=20):
-        merge_partitions(read, spark.createDataFrame(rows, P), path, "p", touched, how, attempts)
+    def merge(rows, touched, how=lambda old, new: old.unionByName(new), wait=20):
+        merge_partitions(read, spark.createDataFrame(rows, P), path, "p", touched, how, wait)
 
     return path, read, merge
 
 
+def files_by_partition(path):
+    return {p.name: {f.name for f in p.glob("*.parquet")} for p in Path(path).glob("p=*")}
+
+
 def test_only_touched_partitions_are_rewritten(spark, small_table):
     path, read, merge = small_table
     merge([("a", 1), ("b", 2)], [1, 2])
-    first = newest_commit(spark, path)[1]
-    held = read()
+    first = files_by_partition(path)
     merge([("c", 1), ("d", 3)], [1, 3])
-    after = newest_commit(spark, path)[1]
+    after = files_by_partition(path)
     assert sorted(map(tuple, read().collect())) == [("a", 1), ("b", 2), ("c", 1), ("d", 3)]
-    assert after["p=2"] == first["p=2"] and after["p=1"] != first["p=1"]
-    # A reader from before the merge still sees what it began with.
-    assert sorted(map(tuple, held.collect())) == [("a", 1), ("b", 2)]
-    merge([("x", 2)], [2], lambda old, new: old.limit(0))
-    assert sorted(map(tuple, read().collect())) == [("a", 1), ("c", 1), ("d", 3)]
+    assert after["p=2"] == first["p=2"] and not after["p=1"] & first["p=1"]
+    assert not [p.name for p in Path(path).iterdir() if p.name.startswith((".spark", "_lease"))]
 
 
-def test_a_lost_race_merges_again(spark, small_table):
+def test_a_failed_merge_frees_the_table(spark, small_table):
     path, read, merge = small_table
     merge([("a", 1)], [1])
-    raced = []
+    first = files_by_partition(path)
+    with pytest.raises(Exception, match="broken"):
+        merge([("b", 1)], [1], lambda old, new: new.withColumn(
+            "coin_id", F.raise_error(F.lit("broken")).cast("string")))
+    assert files_by_partition(path) == first
+    merge([("c", 1)], [1])
+    assert sorted(r.coin_id for r in read().collect()) == ["a", "c"]
 
-    def slow(old, new):
-        if not raced:
-            raced.append(True)
-            merge([("other", 1)], [1])
-        return old.unionByName(new)
 
-    merge([("mine", 1)], [1], slow)
-    assert sorted(r.coin_id for r in read().collect()) == ["a", "mine", "other"]
-    with pytest.raises(ConcurrentMergeError):
-        merge([("z", 1)], [1], lambda old, new: (merge([("w", 1)], [1]), old)[1], attempts=1)
+def test_a_second_writer_waits_or_fails(spark, small_table):
+    path, read, merge = small_table
+    merge([("a", 1)], [1])
+    with ThreadPoolExecutor(1) as pool:
+        with lease(spark, path, "other run", 0):
+            with pytest.raises(TableBusyError, match="other run"):
+                merge([("b", 1)], [1], wait=0)
+            late = pool.submit(merge, [("c", 1)], [1])
+            assert sorted(r.coin_id for r in read().collect()) == ["a"]
+        late.result()
+    assert sorted(r.coin_id for r in read().collect()) == ["a", "c"]
 
 
-def test_old_files_go_when_asked(spark, small_table):
+def test_many_writers_lose_nothing(spark, small_table):
     path, read, merge = small_table
-    for name in "abc":
-        merge([(name, 1)], [1])
-    assert len(remove_old_files(spark, path, keep=1)) == 2
-    assert sorted(r.coin_id for r in read().collect()) == ["a", "b", "c"]
-    merge([("d", 1)], [1])
-    assert read().count() == 4
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(lambda n: merge([(str(n), n % 2)], [n % 2]), range(8)))
+    assert sorted(r.coin_id for r in read().collect()) == sorted(map(str, range(8)))
+
+
+def test_a_lease_on_a_store_that_hadoop_reaches(spark, tmp_path):
+    place = f"file:{tmp_path}/t/_lease"
+    one, two = _HadoopFile(spark, place), _HadoopFile(spark, place)
+    assert one.create("me") and not two.create("you")
+    assert two.read() == "me"
+    one.remove()
+    assert two.create("you")
 
 
 def test_absent_table_reads_as_empty(spark, tmp_path):
