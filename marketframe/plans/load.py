@@ -27,6 +27,11 @@ from marketframe.sources import Lake, merge_partitions
 from marketframe.sources.lake import bucket_of
 
 
+def _by_bucket(merged: DataFrame) -> DataFrame:
+    """One file for a bucket, or several of the advised size, instead of one from every task."""
+    return merged.hint("rebalance", schemas.DIM_PARTITION)
+
+
 def load_dimension(curated: DataFrame, lake: Lake) -> None:
     bucket = bucket_of(F.col("coin_id"))
     touched = assert_rules(curated, dim_rules(), "dim_coins", bucket)
@@ -36,7 +41,7 @@ def load_dimension(curated: DataFrame, lake: Lake) -> None:
         lake.dim,
         schemas.DIM_PARTITION,
         touched,
-        upsert_dim,
+        lambda target, source: _by_bucket(upsert_dim(target, source)),
         lake.patience,
     )
 
@@ -123,7 +128,7 @@ def load_descriptions(
         lake.dim,
         schemas.DIM_PARTITION,
         touched,
-        update_descriptions,
+        lambda target, source: _by_bucket(update_descriptions(target, source)),
         lake.patience,
     )
     return counts
