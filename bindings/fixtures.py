@@ -140,3 +140,14 @@ def write_one_document(documents: DataFrame, path: str) -> str:
     entries = lines.select(F.concat(before, F.expr("substring(value, 2, length(value) - 2)")).alias("value"))
     entries.unionByName(documents.sparkSession.createDataFrame([("}",)], "value string")).coalesce(1).write.text(path)
     return path
+
+
+def long_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prices of which half are one coin's, a day for each: far more days than a century has."""
+    key = F.col("o_orderkey")
+    coin = F.when(key % 2 == 0, "hot").otherwise(F.concat(F.lit("coin_"), F.col("o_custkey").cast("string")))
+    return table(spark, sf_dir, "orders").select(
+        coin.alias("coin_id"),
+        F.date_add(F.lit("1600-01-01").cast("date"), (key % 3_000_000).cast("int")).alias("price_date"),
+        F.col("o_totalprice").cast("decimal(20,8)").alias("price_usd"),
+    )

@@ -76,6 +76,23 @@ _SHARED = {
         select coin_id, price_date, cast(price_usd + 1 as decimal(20,8)) as price_usd,
                cast(null as decimal(20,2)) as market_cap_usd, volume_24h_usd, processed_at
         from px where price_date >= date '2024-01-16'""",
+    "changes": """
+        select coin_id, price_date, cast(price_usd as double) as price_usd,
+               cast(previous as double) as previous_price,
+               case when b <> 0
+                    then sign(a - b) * ((2 * 10000 * abs(a - b) + b) // (2 * b)) / 100.0
+               end as pct_change
+        from (select *, cast(price_usd * 100000000 as hugeint) as a,
+                     cast(previous * 100000000 as hugeint) as b
+              from (select coin_id, price_date, price_usd,
+                           lag(price_usd) over (partition by coin_id order by price_date) as previous
+                    from {prices}) w) v""",
+    "long_prices": """
+        select case when o_orderkey % 2 = 0 then 'hot'
+                    else concat('coin_', cast(o_custkey as varchar)) end as coin_id,
+               cast(date '1600-01-01' + cast(o_orderkey % 3000000 as int) as date) as price_date,
+               cast(o_totalprice as decimal(20,8)) as price_usd
+        from orders""",
     "target": "select * from px where price_date < date '2024-01-20'",
     "gaps": """
         select coin_id, expected_date
@@ -449,4 +466,23 @@ ORACLES: dict[str, str] = {
         ["points"], "select * from points where coin_id in ('coin_1', 'coin_22', 'none')"
     ),
     "description_document": _with(["texts"], "select * from texts"),
+    "missing_dates_kept": _with(["gaps"], "select * from gaps", last=_GAP_DAY),
+    "price_changes": _with(["px", "changes"], "select * from changes", prices="px"),
+    "price_changes_long_coin": _with(
+        ["long_prices", "changes"], "select * from changes", prices="long_prices"
+    ),
+    "stored_key_clashes": _with(
+        ["px"],
+        """select coin_id, price_date, cast(1 as bigint) as stored_rows from px
+           where price_date >= date '2024-01-16' and price_date < date '2024-01-20'""",
+    ),
+    "compacted_log": _with(["run_log"], "select * from run_log"),
+    "compacted_health": _with(["health"], "select * from health"),
+    "widened_generations": """
+        select event_id, user_id,
+               case when event_id % 2 = 0 then cast(cast(value as float) as double) else value end as value,
+               cast(cast(cast(value as decimal(12,2)) as decimal(20,4)) as double) as cents,
+               case when event_id % 2 = 1 then event_type end as kind
+        from events""",
 }
+ORACLES["incremental_backfill"] = ORACLES["backfill_job_defaults"]

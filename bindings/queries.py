@@ -15,16 +15,36 @@ from bindings.fixtures import AS_OF, RUN_TS
 from marketframe import Lake, scratch_dir
 from marketframe import operators as op
 from marketframe.functions import epoch_ms_to_date, stable_key, store_cast
-from marketframe.plans import Landing, enrich_descriptions, open_views, run_backfill, run_daily
-from marketframe.schemas import AMOUNT_TYPE, FACT_KEYS, HISTORY, PRICE_TYPE
+from marketframe.plans import (
+    Landing,
+    enrich_descriptions,
+    follow_history,
+    load_dimension,
+    load_snapshot,
+    open_views,
+    run_backfill,
+    run_daily,
+    stored_clashes,
+)
+from marketframe.schemas import (
+    AMOUNT_TYPE,
+    CURATED_DIM,
+    CURATED_SNAPSHOT,
+    FACT_KEYS,
+    HISTORY,
+    PRICE_TYPE,
+)
 from marketframe.sources import (
     append_runs,
+    compact_runs,
     flatten_descriptions,
     flatten_history,
     malformed_documents,
     read_coin_details,
     read_curated,
     read_description_document,
+    read_generations,
+    read_health,
     read_history_document,
     read_market,
     read_runs,
@@ -415,6 +435,83 @@ def description_document(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_description_document(spark, path, range_bytes=1 << 18)
 
 
+def missing_dates_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Missing dates from the sets of days that two loads have kept."""
+    root, run_ts = f"{scratch_dir(spark, 'coverage')}/run", F.lit(RUN_TS).cast("timestamp_ntz")
+    lake, px = Lake(f"{root}/lake", keep_coverage=True), f"{root}/px"
+    dim = fx.dim(spark, sf_dir).select("coin_id", "symbol", "name", run_ts.alias("loaded_at"))
+    load_dimension(read_curated(spark, write_curated(dim, f"{root}/dim"), CURATED_DIM), lake)
+    doubles = ["price_usd", "market_cap_usd", "volume_24h_usd"]
+    rows = fx.px(spark, sf_dir).withColumns({c: F.col(c).cast("double") for c in doubles})
+    stored = read_curated(spark, write_curated(rows, px), CURATED_SNAPSHOT)
+    load_snapshot(stored.filter("price_date >= '2024-01-12'"), lake, unique=True)
+    load_snapshot(stored.filter("price_date < '2024-01-20'"), lake, unique=True)
+    return op.missing_from_coverage(lake.read_dim(spark), lake.read_coverage(spark), MISSING_AS_OF)
+
+
+def incremental_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two landings taken in turn, and a call between them and after them that finds nothing new."""
+    root = f"{scratch_dir(spark, 'follow')}/run"
+    landing, lake = Landing(f"{root}/coins", history=f"{root}/history", multi_line=False), Lake(f"{root}/lake")
+    fx.coins(spark, sf_dir).write.json(landing.coins)
+    documents = fx.history_documents(spark, sf_dir, "ts")
+    for part in ("ts < '2024-01-16'", "ts >= '2024-01-16'"):
+        documents.filter(part).select("value").write.mode("append").text(landing.history)
+        for _ in range(2):
+            follow_history(spark, landing, lake, f"{root}/checkpoint", RUN_TS)
+    return _comparable(lake.read_fact(spark)).drop("price_month")
+
+
+def price_changes_long_coin(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _comparable(op.price_changes(fx.long_prices(spark, sf_dir)))
+
+
+def price_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole table's changes, in blocks of a week."""
+    return _comparable(op.price_changes(fx.px(spark, sf_dir), block_days=7))
+
+
+def stored_key_clashes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys of the second batch that the stored prices hold."""
+    root, day = f"{scratch_dir(spark, 'stored')}/run", F.col("price_date")
+    prices = fx.px(spark, sf_dir)
+    for name, rows in (("table", day < "2024-01-20"), ("batch", day >= "2024-01-16")):
+        prices.filter(rows).write.parquet(f"{root}/{name}")
+    batch, stored = (spark.read.schema(prices.schema).parquet(f"{root}/{n}") for n in ("batch", "table"))
+    return stored_clashes(batch, stored)
+
+
+def _compacted_log(spark: SparkSession, sf_dir: str) -> str:
+    log, path = fx.run_log(spark, sf_dir), f"{scratch_dir(spark, 'compact')}/log"
+    for number, last in enumerate(("2024-01-08", "2024-01-15", "2024-01-22", "2024-03-01")):
+        first = ("2000-01-01", "2024-01-08", "2024-01-15", "2024-01-22")[number]
+        append_runs(log.filter((F.col("run_date") >= first) & (F.col("run_date") < last)), path, str(number))
+        compact_runs(spark, path, "2024-01-15")
+    return path
+
+
+def compacted_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_runs(spark, _compacted_log(spark, sf_dir))
+
+
+def compacted_health(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_health(spark, _compacted_log(spark, sf_dir))
+
+
+def widened_generations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of two generations: the older with narrower numbers and without the last column."""
+    events, root = fx.table(spark, sf_dir, "events"), f"{scratch_dir(spark, 'generations')}/run"
+    kinds = {"user_id": ("int", "bigint"), "value": ("float", "double"), "cents": ("decimal(12,2)", "decimal(20,4)")}
+    cents = events.withColumn("cents", F.col("value").cast("decimal(12,2)"))
+    for number, old in enumerate((F.col("event_id") % 2 == 0, F.col("event_id") % 2 == 1)):
+        columns = [F.col(name).cast(pair[number]).alias(name) for name, pair in kinds.items()]
+        columns += [F.col("event_type").alias("kind")] * number
+        cents.filter(old).select("event_id", *columns).write.parquet(f"{root}/{number}")
+    schema = f"event_id bigint, {', '.join(f'{n} {pair[1]}' for n, pair in kinds.items())}, kind string"
+    wanted = T.StructType.fromDDL(schema)
+    return _comparable(read_generations(spark, [f"{root}/0", f"{root}/1"], wanted))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -474,5 +571,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         history_document,
         history_document_coin,
         description_document,
+        missing_dates_kept,
+        incremental_backfill,
+        price_changes,
+        price_changes_long_coin,
+        stored_key_clashes,
+        compacted_log,
+        compacted_health,
+        widened_generations,
     )
 }

@@ -40,6 +40,7 @@ from marketframe.operators.monitor import (
     missing_from_coverage,
     pipeline_health,
     price_anomalies,
+    price_changes,
     recent_gaps,
     register_views,
 )
@@ -91,6 +92,7 @@ __all__ = [
     "pad_history",
     "pipeline_health",
     "price_anomalies",
+    "price_changes",
     "quality_gate",
     "quality_report",
     "range_filter",

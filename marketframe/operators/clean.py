@@ -28,13 +28,16 @@ def clean_coins(raw: DataFrame, run_ts: datetime | str | None = None) -> DataFra
 def clean_snapshot(
     raw: DataFrame, as_of: date | str | None = None, run_ts: datetime | str | None = None
 ) -> DataFrame:
-    """One day's market snapshot. Numbers that arrive as unusable text become NULL for the gate."""
+    """One day's market snapshot. Numbers that arrive as unusable text become NULL for the gate.
+
+    ``as_of="price_date"`` takes the day from that column, for snapshots of several days.
+    """
     return raw.select(
         F.col("id").alias("coin_id"),
         F.col("current_price").try_cast("double").alias("price_usd"),
         F.col("market_cap").try_cast("double").alias("market_cap_usd"),
         F.col("total_volume").try_cast("double").alias("volume_24h_usd"),
-        date_literal(as_of).alias("price_date"),
+        F.col(as_of) if as_of == "price_date" else date_literal(as_of).alias("price_date"),
         timestamp_literal(run_ts).alias("processed_at"),
     )
 

@@ -37,6 +37,45 @@ def price_anomalies(
     return followed.withColumn("pct_change", change)
 
 
+BLOCK_DAYS = 1024
+
+
+def price_changes(fact: DataFrame, block_days: int = BLOCK_DAYS) -> DataFrame:
+    """Price, previous price and change in percent for every row of the whole table.
+
+    A coin's days are cut into blocks by the calendar, and a window runs over one block. The last row of each
+    block is carried to the first row of the coin's next one, by a window over a coin's blocks: as many as the
+    calendar has, however many rows a coin holds.
+    """
+    block = F.floor(F.unix_date("price_date") / F.lit(block_days)).alias("block")
+    rows = fact.select("coin_id", "price_date", "price_usd", block)
+    by_day = Window.partitionBy("coin_id", "block").orderBy("price_date")
+    near = rows.select(
+        "*",
+        F.lag("price_usd").over(by_day).alias("near"),
+        (F.row_number().over(by_day) == 1).alias("opens"),
+    )
+    last = rows.groupBy("coin_id", "block").agg(
+        F.max(F.struct("price_date", "price_usd"))["price_usd"].alias("last")
+    )
+    by_block = Window.partitionBy("coin_id").orderBy("block")
+    carried = last.select(
+        F.col("coin_id").alias("from_coin"),
+        F.col("block").alias("from_block"),
+        F.lag("last").over(by_block).alias("carried"),
+    )
+    met = F.col("opens") & F.col("coin_id").eqNullSafe(F.col("from_coin"))
+    joined = near.join(carried, met & (F.col("block") == F.col("from_block")), "left")
+    followed = joined.select(
+        "coin_id",
+        "price_date",
+        "price_usd",
+        F.when(F.col("opens"), F.col("carried")).otherwise(F.col("near")).alias("previous_price"),
+    )
+    change = pct_change(F.col("price_usd"), F.col("previous_price"))
+    return followed.withColumn("pct_change", change)
+
+
 def large_moves(anomalies: DataFrame, threshold: float = 20) -> DataFrame:
     """Changes beyond ``threshold`` percent either way, newest first."""
     large = anomalies.filter(F.abs("pct_change") > threshold)
@@ -141,10 +180,12 @@ def register_views(
     run_log: DataFrame,
     as_of: date | str | None = None,
     months: DataFrame | None = None,
+    health: DataFrame | None = None,
 ) -> None:
     """Tables and monitoring views under their SQL names, for ``spark.sql``.
 
     ``months``: kept sets of days, from which missing dates are read instead of from the prices.
+    ``health``: the log's health as kept for closed periods, instead of from all its rows.
     """
     months = coin_months(fact) if months is None else months
     views = {
@@ -153,7 +194,7 @@ def register_views(
         "pipeline_run_log": run_log,
         "v_price_anomalies": price_anomalies(fact, as_of),
         "v_missing_dates": missing_from_coverage(dim, months, as_of),
-        "v_pipeline_health": pipeline_health(run_log),
+        "v_pipeline_health": pipeline_health(run_log) if health is None else health,
     }
     for name, view in views.items():
         view.createOrReplaceTempView(name)

@@ -1,4 +1,6 @@
 from marketframe.plans.build import build_dimension, build_history, build_snapshot
+from marketframe.plans.clashes import stored_clashes
+from marketframe.plans.follow import follow_history, follow_market
 from marketframe.plans.jobs import (
     Landing,
     RunResult,
@@ -17,6 +19,8 @@ __all__ = [
     "build_history",
     "build_snapshot",
     "enrich_descriptions",
+    "follow_history",
+    "follow_market",
     "load_descriptions",
     "load_dimension",
     "load_history",
@@ -25,4 +29,5 @@ __all__ = [
     "run_all",
     "run_backfill",
     "run_daily",
+    "stored_clashes",
 ]

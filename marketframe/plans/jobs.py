@@ -24,6 +24,7 @@ from marketframe.sources import (
     read_curated,
     read_description_document,
     read_descriptions,
+    read_health,
     read_history,
     read_history_document,
     read_malformed,
@@ -229,7 +230,10 @@ def open_views(spark: SparkSession, lake: Lake, as_of: date | str | None = None)
     """
     run_log = read_runs(spark, lake.run_log)
     months = lake.read_coverage(spark) if lake.keep_coverage else None
-    register_views(spark, lake.read_dim(spark), lake.read_fact(spark), run_log, as_of, months)
+    health = read_health(spark, lake.run_log)
+    register_views(
+        spark, lake.read_dim(spark), lake.read_fact(spark), run_log, as_of, months, health
+    )
     others = [x for x in _OPEN.get(lake.root, []) if x[0] is not spark]
     _OPEN[lake.root] = [*others, (spark, as_of)]
 

@@ -14,7 +14,8 @@ from marketframe.sources.landed import (
 )
 from marketframe.sources.lake import Lake, merge_partitions, read_table
 from marketframe.sources.lease import TableBusyError
-from marketframe.sources.runlog import RunLog, append_runs, read_runs
+from marketframe.sources.runlog import RunLog, append_runs, compact_runs, read_health, read_runs
+from marketframe.sources.widen import TypeChangeError, read_generations
 
 __all__ = [
     "malformed_documents",
@@ -22,16 +23,20 @@ __all__ = [
     "Lake",
     "RunLog",
     "append_runs",
+    "compact_runs",
     "flatten_descriptions",
     "flatten_history",
     "jdbc_properties",
     "TableBusyError",
+    "TypeChangeError",
     "merge_partitions",
     "read_coin_details",
     "read_coin_list",
     "read_curated",
     "read_description_document",
     "read_descriptions",
+    "read_generations",
+    "read_health",
     "read_history",
     "read_history_document",
     "read_market",

@@ -9,12 +9,12 @@ import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marketframe import schemas
+from marketframe.sources.folders import exists
 from marketframe.sources.lease import lease
 
 PATIENCE = 900.0
@@ -77,13 +77,10 @@ def read_table(
 ) -> DataFrame:
     """A table with its (innermost) partition column last; one not written yet is empty."""
     full = T.StructType([*schema.fields, T.StructField(partition, kind)])
-    try:
+    if exists(spark, path):
         return spark.read.schema(full).parquet(path)
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
-        empty = [F.lit(None).cast(field.dataType).alias(field.name) for field in full]
-        return spark.range(1).select(*empty).limit(0)
+    empty = [F.lit(None).cast(field.dataType).alias(field.name) for field in full]
+    return spark.range(1).select(*empty).limit(0)
 
 
 def merge_partitions(
