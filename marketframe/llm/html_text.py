@@ -10,7 +10,7 @@ the main text.
 
 import html
 import re
-from collections import deque
+from collections import Counter, deque
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -36,7 +36,6 @@ CLOSES_P = frozenset(
     "h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split()
 )
 CLOSES_ITSELF = frozenset("li dt dd tr td th option".split())
-HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 # Hints of what an element holds, by its name and by words of its class and id.
 BOILER_TAGS = frozenset("nav footer aside form menu dialog".split())
@@ -49,10 +48,15 @@ BOILER_WORDS = frozenset(
     "pagination pager widget form search toolbar topbar copyright legal disclaimer".split()
 )
 CONTENT_WORDS = frozenset("article content post entry story main maincontent articlebody".split())
+# Of these, words that also name parts of a layout that hold content.
+LAYOUT_WORDS = frozenset(
+    "banner header masthead menu overlay widget form search toolbar topbar legal".split()
+)
 # A class name tells of the layout, not of what the element holds, from such a word on.
 MODIFIERS = frozenset("has with no without".split())
-# Below the classifier's bound of 4, so that it and the edges can overturn a hint.
-BOILER_HINT, CONTENT_HINT = -3.5, 3.0
+# The hint of layout words is below the classifier's bound of 4, so that it and the edges can overturn
+# it. That of elements and words that say what they hold is beyond all that speaks for content together.
+LAYOUT_HINT, BOILER_HINT, CONTENT_HINT = -3.5, -9.0, 3.0
 
 TAG = re.compile(r"<(?:(/?)([A-Za-z][^\s/>]*)|[!?/])")
 ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
@@ -62,8 +66,8 @@ WORDS = re.compile(r"[A-Za-z]+")
 
 @dataclass
 class Block:
-    path: tuple[int, ...]  # numbers of the elements around it, from the root
-    tag: str
+    depth: int  # elements around it
+    shared: int  # of these, the outer ones that are also around the block before
     hint: float
     sure: int  # 1 content, -1 boilerplate, 0 unknown, by the elements around it
     text: str = ""
@@ -73,12 +77,11 @@ class Block:
 @dataclass(slots=True)
 class Element:
     tag: str
-    number: int
     hint: float
     boiler: bool
     content: bool
     inline: bool = field(default=False)
-    hard: bool = field(default=False)  # boilerplate by an element's name, not only by a word
+    hard: bool = field(default=False)  # boilerplate by more than a layout word
 
 
 def _tag_end(page: str, at: int) -> int:
@@ -90,15 +93,18 @@ def _tag_end(page: str, at: int) -> int:
         if m[0] == ">":
             return m.end()
         # A quote counts as one only after an equals sign; a stray one is a plain character.
-        close = page.find(m[0], m.end()) if page[: m.start()].rstrip()[-1:] == "=" else m.start()
+        before = m.start() - 1
+        while before >= 0 and page[before].isspace():
+            before -= 1
+        close = page.find(m[0], m.end()) if page[before] == "=" else m.start()
         if close < 0:
             return -1
         at = close + 1
 
 
-def _element(tag: str, number: int, attributes: str, parent: Element) -> Element:
+def _element(tag: str, attributes: str, parent: Element) -> Element:
     boiler, content, hard, hint = parent.boiler, parent.content, parent.hard, parent.hint
-    against_word = content_word = False
+    against_word = content_word = strong = False
     for m in ATTRIBUTE.finditer(attributes) if attributes else ():
         for name in (m[2] or m[3] or m[4] or "").split():
             words = [w.lower() for w in WORDS.findall(name)]
@@ -106,35 +112,60 @@ def _element(tag: str, number: int, attributes: str, parent: Element) -> Element
             told = set(words[:layout])
             # One name with both, such as post-comments, is a part of the page beside the content.
             against_word |= bool(told & BOILER_WORDS)
+            strong |= bool(told & (BOILER_WORDS - LAYOUT_WORDS))
             content_word |= bool(told & CONTENT_WORDS) and not told & BOILER_WORDS
     by_name = tag in BOILER_TAGS or (tag == "header" and not content)
     whole = tag in ("html", "body", *CONTENT_TAGS)
     if not whole and (by_name or (against_word and not content_word)):
-        boiler, hard, hint = True, hard or by_name, BOILER_HINT
+        hard = hard or by_name or strong
+        boiler, hint = True, BOILER_HINT if hard else LAYOUT_HINT
     elif tag in CONTENT_TAGS and boiler and not hard and (content_word or not against_word):
         boiler, content, hint = False, True, CONTENT_HINT
     elif tag in CONTENT_TAGS or content_word:
         content, hint = True, CONTENT_HINT if not boiler else hint
-    return Element(tag, number, hint, boiler, content, tag in INLINE, hard)
+    return Element(tag, hint, boiler, content, tag in INLINE, hard)
+
+
+class _Open:
+    """The elements that are open, and how far they were closed since the last block."""
+
+    def __init__(self) -> None:
+        root = Element("", 0.0, False, False)
+        self.all, self.solid = [root], [root]  # solid: those that are not inline
+        self.count: Counter[str] = Counter()
+        self.low = 0
+
+    def push(self, element: Element) -> None:
+        self.all.append(element)
+        self.count[element.tag] += 1
+        if not element.inline:
+            self.solid.append(element)
+
+    def cut(self, depth: int) -> None:
+        for element in self.all[depth:]:
+            self.count[element.tag] -= 1
+            if not element.inline:
+                self.solid.pop()
+        del self.all[depth:]
+        self.low = min(self.low, len(self.solid))
 
 
 def blocks_of(page: str) -> list[Block]:
     """Blocks of text in page order; broken or cut off markup is read as far as it goes."""
-    stack = [Element("", 0, 0.0, False, False)]
+    stack = _Open()
     blocks: list[Block] = []
     pieces: list[str] = []
-    linked = number = at = 0
-    links = 0
+    linked = at = 0
 
     def flush() -> None:
         nonlocal linked
         text = " ".join("".join(pieces).split())
         if text:
-            around = [e for e in stack if not e.inline]
-            top = around[-1]
+            top = stack.solid[-1]
             sure = -1 if top.boiler else 1 if top.content else 0
-            path = tuple(e.number for e in around)
-            blocks.append(Block(path, top.tag, top.hint, sure, text, min(linked, len(text))))
+            shared = min(stack.low, len(stack.solid))
+            blocks.append(Block(len(stack.solid), shared, top.hint, sure, text, min(linked, len(text))))
+            stack.low = len(stack.solid)
         pieces.clear()
         linked = 0
 
@@ -142,15 +173,13 @@ def blocks_of(page: str) -> list[Block]:
         nonlocal linked
         decoded = html.unescape(raw) if "&" in raw else raw
         pieces.append(decoded)
-        if links:
+        if stack.count["a"]:
             linked += len(decoded)
 
     def pop_to(depth: int) -> None:
-        nonlocal links
-        if any(not e.inline for e in stack[depth:]):
+        if any(not e.inline for e in stack.all[depth:]):
             flush()
-        links -= sum(e.tag == "a" for e in stack[depth:])
-        del stack[depth:]
+        stack.cut(depth)
 
     while at < len(page):
         m = TAG.search(page, at)
@@ -173,10 +202,11 @@ def blocks_of(page: str) -> list[Block]:
             break  # cut off inside a tag
         at = end
         if m[1]:
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth].tag == tag:
-                    pop_to(depth)
-                    break
+            if stack.count[tag]:
+                depth = len(stack.all) - 1
+                while stack.all[depth].tag != tag:
+                    depth -= 1
+                pop_to(depth)
             continue
         if tag in DROPPED:
             if page[end - 2] != "/":
@@ -189,27 +219,26 @@ def blocks_of(page: str) -> list[Block]:
             elif tag in ("br", "wbr", "img", "input"):
                 pieces.append(" " if tag != "wbr" else "")
             continue
-        if tag in CLOSES_P or tag in CLOSES_ITSELF:
-            stop = "p" if tag in CLOSES_P else tag
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth].tag == stop:
+        stop = "p" if tag in CLOSES_P else tag if tag in CLOSES_ITSELF else ""
+        if stack.count[stop]:
+            for depth in range(len(stack.all) - 1, 0, -1):
+                open_ = stack.all[depth]
+                if open_.tag == stop:
                     pop_to(depth)
                     break
-                if not stack[depth].inline and not (tag in ("td", "th") and stack[depth].tag in ("td", "th")):
+                if not open_.inline and not (tag in ("td", "th") and open_.tag in ("td", "th")):
                     break
         if tag not in INLINE:
             flush()
-        number += 1
-        element = _element(tag, number, page[m.end() : end - 1], stack[-1])
         if page[end - 2] != "/" or tag in INLINE or tag in CLOSES_P:
-            stack.append(element)
-            links += tag == "a"
+            stack.push(_element(tag, page[m.end() : end - 1], stack.all[-1]))
     flush()
     return blocks
 
 
 def features(block: Block) -> list[float]:
-    """What the words of a block say of it, whatever the elements around it."""
+    """What the words of a block say of it, whatever the elements around it, its own tag included:
+    a paragraph in a footer is a paragraph too."""
     words = block.text.split()
     letters = sum(map(str.isalpha, block.text))
     return [
@@ -217,19 +246,21 @@ def features(block: Block) -> list[float]:
         block.linked / len(block.text),
         float(np.log1p(len(words))),
         float(block.text[-1] in ".!?…\"'»"),
-        float(block.tag == "p"),
-        float(block.tag in HEADINGS),
-        float(block.tag in ("li", "td", "th")),
         letters / len(block.text),
+        sum(map(str.isdigit, block.text)) / len(block.text),
+        float(block.text[0].isupper()),
+        float(np.log1p(len(block.text) / max(len(words), 1))),
         float(len(words) < 6),
     ]
 
 
 @dataclass(frozen=True)
 class Extraction:
-    """``max_blocks`` bounds the labelled blocks that train the classifier. ``tie``: weight of the
-    smoothness edge between neighbours in one element; it falls with their distance in the tree."""
+    """``max_pages`` and ``max_blocks`` bound the pages and the labelled blocks that train the classifier;
+    every page is extracted. ``tie``: weight of the smoothness edge between neighbours in one element; it falls with
+    their distance in the tree."""
 
+    max_pages: int = 1000
     max_blocks: int = 20_000
     tie: float = 1.5
     skip_tie: float = 0.5
@@ -247,13 +278,10 @@ def train_blocks(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return weights
 
 
-def tree_distance(a: tuple[int, ...], b: tuple[int, ...]) -> int:
-    shared = 0
-    for x, y in zip(a, b, strict=False):
-        if x != y:
-            break
-        shared += 1
-    return len(a) + len(b) - 2 * shared
+def tree_distance(blocks: list[Block], i: int, step: int) -> int:
+    """Steps in the element tree from block ``i`` to the one ``step`` further on."""
+    shared = min(b.shared for b in blocks[i + 1 : i + step + 1])
+    return blocks[i].depth + blocks[i + step].depth - 2 * shared
 
 
 def minimum_cut(gain: list[float], ties: list[tuple[int, int, float]]) -> list[bool]:
@@ -331,32 +359,38 @@ def main_text(page: str | None, weights: np.ndarray, x: Extraction) -> str:
     ties = []
     for step, tie in ((1, x.tie), (2, x.skip_tie)):
         for i in range(len(blocks) - step):
-            a, b = blocks[i].path, blocks[i + step].path
-            ties.append((i, i + step, tie / max(1, tree_distance(a, b) - 1)))
+            ties.append((i, i + step, tie / max(1, tree_distance(blocks, i, step) - 1)))
     inside = minimum_cut(gain, ties)
     return " ".join(b.text for b, keep in zip(blocks, inside, strict=True) if keep)
 
 
 def fit_blocks(pages: DataFrame, x: Extraction) -> np.ndarray:
-    """The block classifier, from about ``max_blocks`` blocks that their elements settle."""
+    """The block classifier, from about ``max_blocks`` blocks that their elements settle, of about
+    ``max_pages`` pages. Pages and blocks are drawn by a hash of their names and places."""
+    names = ["page", "place", "sure", "features"]
+    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.float64())]
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in all_slices(batches, "html"):
-            rows = [(b.sure, features(b)) for page in batch["html"].to_pylist() for b in blocks_of(page or "")]
-            rows = [(sure, f) for sure, f in rows if sure]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([s for s, _ in rows], pa.int32()), pa.array([f for _, f in rows], pa.list_(pa.float64()))],
-                names=["sure", "features"],
-            )
+            rows = [
+                (number, place, block.sure, features(block))
+                for number, page in zip(batch["page"].to_pylist(), batch["html"].to_pylist(), strict=True)
+                for place, block in enumerate(blocks_of(page or "")) if block.sure
+            ]
+            columns = list(zip(*rows, strict=True)) or [[]] * 4
+            yield pa.RecordBatch.from_arrays(list(map(pa.array, columns, kinds)), names=names)
 
     total = pages.count()
+    share = lambda most, of: int(min(1.0, most / max(of, 1)) * (1 << 40))
     draw = lambda *c: F.pmod(F.xxhash64(*c), F.lit(1 << 40))
-    some = pages.filter(draw("page_id", "url") < int(min(1.0, 1000 / max(total, 1)) * (1 << 40)))
-    rows = spill(some.select("html").mapInArrow(label, "sure int, features array<double>"), "blocks")
-    part = int(min(1.0, x.max_blocks / max(rows.count(), 1)) * (1 << 40))
-    found = sorted((r.sure, r.features) for r in rows.filter(draw("features") < part).collect())
+    some = pages.filter(draw("page_id", "url") < share(x.max_pages, total))
+    some = some.select(F.xxhash64("page_id", "url").alias("page"), "html")
+    shape = "page long, place long, sure int, features array<double>"
+    rows = spill(some.mapInArrow(label, shape), "blocks")
+    drawn = rows.filter(draw("page", "place") < share(x.max_blocks, rows.count()))
+    found = sorted((r.sure, r.features) for r in drawn.select("sure", "features").collect())
     if not found:
-        return np.zeros(9)
+        return np.zeros(len(features(Block(0, 0, 0.0, 0, "x"))))
     return train_blocks(np.array([f for _, f in found]), np.array([s > 0 for s, _ in found], float))
 
 
@@ -365,7 +399,8 @@ def extract_main_text(pages: DataFrame, x: Extraction = Extraction()) -> DataFra
 
     A null or empty page, and one without content, has an empty text. Repeated rows have equal
     texts; an empty table gives no rows. Other columns are not read. Each page is read whole, by
-    itself.
+    itself, however long or deep, in time about linear in its tags. Of cuts of equal cost the one with the least
+    content is taken.
     """
     ship(pages.sparkSession)
     pages = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), "html")

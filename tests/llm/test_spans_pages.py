@@ -2,6 +2,7 @@
 
 import itertools
 import random
+import time
 import re
 import zlib
 
@@ -10,7 +11,15 @@ import pytest
 from pyspark.sql import functions as F
 
 from marketframe.llm import pii, secret_scan
-from marketframe.llm.html_text import Extraction, blocks_of, extract_main_text, main_text, minimum_cut
+from marketframe.llm.html_text import (
+    Extraction,
+    blocks_of,
+    extract_main_text,
+    fit_blocks,
+    main_text,
+    minimum_cut,
+    tree_distance,
+)
 from marketframe.llm.spans import digest, written
 from marketframe.llm.toxicity import Ftrl, held_out, score_toxicity
 
@@ -175,6 +184,74 @@ def test_layout_classes_do_not_lose_the_article(spark, outer):
     assert found.filter("page_id = 1").first().text == want
 
 
+@pytest.fixture(scope="module")
+def fitted(spark):
+    """Weights from the pages that the query reads, not from these tests' own."""
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet")
+    return fit_blocks(pages, Extraction())
+
+
+NOISE = ("It is a long and quiet paragraph of plain words, such as any writer would put into an article. "
+         "It has several sentences. Each of them ends as a sentence should end.")
+GOOD = [f"The story goes on for a while in paragraph {i}, with words enough to look like one." for i in range(3)]
+AROUND = ["nav", "header", "footer", "aside", "form", 'div class="comments"', 'section id="comments"', 'div class="cookie-notice"',
+          'div class="advert"', 'div class="sidebar"', 'div id="related-posts"', 'div class="newsletter-signup"']
+
+
+@pytest.mark.parametrize("outer", AROUND)
+@pytest.mark.parametrize("inner", ["<p>{}</p>", "<article><p>{}</p></article>", "<div><div><p>{}</p><p>{}</p></div></div>"])
+def test_paragraphs_of_boilerplate_stay_out(fitted, outer, inner):
+    story = "<article>" + "".join(f"<p>{g}</p>" for g in GOOD) + "</article>"
+    noise = f"<{outer}>{inner.replace('{}', NOISE)}</{outer.split()[0]}>"
+    want = " ".join(GOOD)
+    for body in (noise + story, story + noise, noise + story + noise, f"<div><main>{story}</main>{noise}</div>"):
+        page = f"<html><body>{body}</body></html>"
+        assert main_text(page, fitted, Extraction()) == want
+    assert main_text(f"<body>{noise}</body>", fitted, Extraction()) == ""
+
+
+def test_boilerplate_inside_an_article_stays_out(fitted):
+    body = f"<article><p>{GOOD[0]}</p><aside><p>{NOISE}</p></aside><p>{GOOD[1]}</p><div class='ad'>{NOISE}</div></article>"
+    assert main_text(body, fitted, Extraction()) == " ".join(GOOD[:2])
+
+
+def test_distances_are_those_of_the_tree():
+    """Against paths of element numbers, on random markup."""
+    rng = random.Random(8)
+    for _ in range(200):
+        parts, open_, paths, number = [], [], [], 0
+        for _ in range(rng.randrange(30)):
+            move = rng.random()
+            if move < 0.4:
+                number += 1
+                open_.append(number)
+                parts.append("<div>")
+            elif move < 0.7 and open_:
+                open_.pop()
+                parts.append("</div>")
+            else:
+                parts.append("<b>w</b> ")
+                if not paths or paths[-1] != tuple(open_) or parts[-2] in ("<div>", "</div>"):
+                    paths.append(tuple(open_))
+        blocks = blocks_of("".join(parts))
+        assert len(blocks) == len(paths)
+        for step in (1, 2):
+            for i in range(len(blocks) - step):
+                a, b = paths[i], paths[i + step]
+                shared = next((k for k, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+                assert tree_distance(blocks, i, step) == len(a) + len(b) - 2 * shared
+
+
+@pytest.mark.parametrize("page", [
+    "<div>word" * 60_000, "<b>word<p>" * 50_000, "<p>a</q></div>" * 100_000, "<a href='x' title=\"y\">w</a> " * 150_000,
+    "<a b" + "   '" * 200_000 + ">", "<p>" + "word " * 1_000_000,
+], ids=["deep", "inline", "unmatched", "quotes", "stray", "long"])
+def test_large_pages_take_linear_time(fitted, page):
+    start = time.perf_counter()
+    blocks_of(page)
+    assert time.perf_counter() - start < 5
+
+
 def test_broken_pages_end():
     for page in ("<" * 50_000, "<a \"" * 20_000, "<!--", "<script>", "<p" * 20_000, "&" * 50_000, "<div>" * 5_000 + "x", "<a href='"):
         assert isinstance(main_text(page, np.zeros(9), Extraction()), str)
