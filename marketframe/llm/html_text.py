@@ -247,9 +247,6 @@ def features(block: Block) -> list[float]:
         float(np.log1p(len(words))),
         float(block.text[-1] in ".!?…\"'»"),
         letters / len(block.text),
-        sum(map(str.isdigit, block.text)) / len(block.text),
-        float(block.text[0].isupper()),
-        float(np.log1p(len(block.text) / max(len(words), 1))),
         float(len(words) < 6),
     ]
 

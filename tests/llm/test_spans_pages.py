@@ -12,9 +12,11 @@ from pyspark.sql import functions as F
 
 from marketframe.llm import pii, secret_scan
 from marketframe.llm.html_text import (
+    Block,
     Extraction,
     blocks_of,
     extract_main_text,
+    features,
     fit_blocks,
     main_text,
     minimum_cut,
@@ -254,7 +256,7 @@ def test_large_pages_take_linear_time(fitted, page):
 
 def test_broken_pages_end():
     for page in ("<" * 50_000, "<a \"" * 20_000, "<!--", "<script>", "<p" * 20_000, "&" * 50_000, "<div>" * 5_000 + "x", "<a href='"):
-        assert isinstance(main_text(page, np.zeros(9), Extraction()), str)
+        assert isinstance(main_text(page, np.zeros(len(features(Block(0, 0, 0.0, 0, "x")))), Extraction()), str)
     assert " ".join(b.text for b in blocks_of("a<p>b<td>c</p>d</div>e")).split() == ["a", "b", "c", "de"]
 
 
