@@ -10,9 +10,12 @@ those likelihoods, decides on candidates outside the base spans. Base spans alwa
 
 import re
 import zlib
+from bisect import bisect_left
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
+from ipaddress import ip_address, ip_network
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketframe.llm.common import all_slices, ship, spill
-from marketframe.llm.spans import Span, digest, overlaps, written
+from marketframe.llm.spans import Span, digest, written
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -36,14 +39,89 @@ PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 AT = re.compile(r"[A-Za-z0-9._%+-]{1,64}(?: ?\(at\) ?| ?\[at\] ?)[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63})+")
 NUMBER = re.compile(r"[0-9(](?:[ ().-]{0,2}[0-9])++")
 
-# Gazetteers: fixed values.
-DOMAINS = frozenset("com org net edu gov io co info biz dev app de fr es uk it nl eu us ca".split())
-CARD_PREFIXES = ("4", "51", "52", "53", "54", "55", "34", "37", "6011", "65", "35", "36", "38")
-RESERVED = ("0.", "10.", "127.", "169.254.", "192.168.", "224.", "255.")
+# A whole address, its sign spelled out or not, with labels of a length that mail servers take.
+MAIL = re.compile(
+    r"[A-Za-z0-9](?:[A-Za-z0-9._%+-]{0,62}[A-Za-z0-9])?(?:@| ?\(at\) ?| ?\[at\] ?)"
+    r"(?:[A-Za-z0-9](?:[A-Za-z0-9-]{0,61}[A-Za-z0-9])?\.)+[A-Za-z]{2,63}"
+)
+
+# Gazetteers: fixed values. Top-level domains: those of countries have two letters, all of which count, and these.
+DOMAINS = frozenset(
+    "com org net edu gov mil int arpa info biz name pro aero coop museum jobs mobi travel tel cat asia post "
+    "app blog cloud club dev eco email global group live ltd media news online shop site store tech "
+    "today top web website wiki work world xyz".split()
+)
+# Card networks by ISO/IEC 7812: first and last prefix of a range, and the lengths of its numbers.
+CARD_RANGES = (
+    ("4", "4", (13, 16, 19)),
+    ("51", "55", (16,)),
+    ("2221", "2720", (16,)),
+    ("34", "34", (15,)),
+    ("37", "37", (15,)),
+    ("300", "305", (14, 16, 19)),
+    ("36", "36", (14, 16, 19)),
+    ("38", "39", (14, 16, 19)),
+    ("6011", "6011", (16, 19)),
+    ("644", "659", (16, 19)),
+    ("3528", "3589", (16, 19)),
+    ("62", "62", (16, 17, 18, 19)),
+    ("2200", "2204", (16, 19)),
+    ("50", "50", (12, 13, 14, 15, 16, 17, 18, 19)),
+    ("56", "58", (12, 13, 14, 15, 16, 17, 18, 19)),
+)
+# IPv4 networks of the IANA special-purpose registry.
+RESERVED = tuple(
+    ip_network(n) for n in (
+        "0.0.0.0/8 10.0.0.0/8 100.64.0.0/10 127.0.0.0/8 169.254.0.0/16 172.16.0.0/12 192.0.0.0/24 "
+        "192.0.2.0/24 192.88.99.0/24 192.168.0.0/16 198.18.0.0/15 198.51.100.0/24 203.0.113.0/24 "
+        "224.0.0.0/4 240.0.0.0/4"
+    ).split()
+)
+# Calling codes by ITU-T E.164: two zones of one digit, these of two; in the other zones codes have three
+# digits, save where a whole ten is spare.
+ONE_DIGIT_CODES = ("1", "7")
+TWO_DIGIT_CODES = frozenset(
+    "20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 "
+    "81 82 84 86 90 91 92 93 94 95 98".split()
+)
+SPARE_TENS = frozenset("28 83 89".split())
 FOR = frozenset("tel phone call fax mobile mail email contact write card visa pay ip host server address login telefon teléfono courriel".split())
 AGAINST = frozenset("order invoice isbn version price total page vol no nr ref doi rfc section".split())
 
 
+def card_network(digits: str) -> bool:
+    """Whether a card network gives out numbers of this beginning and length."""
+    return any(
+        low <= digits[: len(low)] <= high and len(digits) in lengths for low, high, lengths in CARD_RANGES
+    )
+
+
+def calling_code(digits: str) -> bool:
+    """Whether an international number begins with a calling code and goes on behind it."""
+    if digits[:1] in ONE_DIGIT_CODES:
+        return len(digits) > 7
+    two = digits[:2]
+    if two in SPARE_TENS or digits[:1] == "0":
+        return False
+    return len(digits) >= (8 if two in TWO_DIGIT_CODES else 9)
+
+
+def top_level(domain: str) -> int:
+    """1 for a known top-level domain, 0 for one that may be, -1 for what cannot be one."""
+    last = domain.rsplit(".", 1)[-1].lower()
+    if last in DOMAINS or (len(last) == 2 and last.isascii() and last.isalpha()):
+        return 1
+    return 0 if last.isalpha() or last.startswith("xn--") else -1
+
+
+def reserved(value: str) -> bool:
+    try:
+        address = ip_address(value)
+    except ValueError:
+        return False
+    return any(address in network for network in RESERVED)
+
+
 def luhn(digits: str) -> bool:
     values = [int(d) for d in reversed(digits)]
     return sum(v if i % 2 == 0 else v * 2 - 9 * (v > 4) for i, v in enumerate(values)) % 10 == 0
@@ -121,15 +199,18 @@ def candidates(text: str, base: list[Span]) -> list[Span]:
     loose += [("ip", start, end) for start, end, _ in _addresses(text)]
     for m in NUMBER.finditer(text):
         for start, end, n in _numbers(m.group(), m.start()):
-            if 7 <= n <= 19:
+            # Digits within a word, such as a key, are no number.
+            alone = not (text[start - 1 : start].isalnum() or text[end : end + 1].isalnum())
+            if 7 <= n <= 19 and alone:
                 loose.append(("phone" if n < 12 else "card", start, end))
     near = sorted(base, key=lambda s: s[1])
     starts = [s[1] for s in near]
+    reach = list(accumulate((s[2] for s in near), max))
     out = list(base)
     for kind, start, end in loose:
-        # Base spans of a kind do not overlap, so that only the last few before the end can meet it.
-        before = int(np.searchsorted(starts, end))
-        if not overlaps(near[max(0, before - 8) : before], start, end):
+        # Of the base spans that begin before its end, the one that reaches furthest.
+        before = bisect_left(starts, end)
+        if not before or reach[before - 1] <= start:
             out.append((kind, start, end))
     return out
 
@@ -142,21 +223,23 @@ def votes(kind: str, value: str, around: list[str], in_base: bool) -> tuple[int,
     """The labelers' votes: 1 for personal data, -1 against, 0 for none."""
     digits = re.sub("[^0-9]", "", value)
     if kind == "email":
-        last = value.rsplit(".", 1)[-1].lower()
-        form, listed = (1 if "@" in value else -1), (1 if last in DOMAINS else -1)
+        form, listed = (1 if MAIL.fullmatch(value) else -1), top_level(value)
     elif kind == "ip":
         parts = value.split(".")
         plain = all(len(p) < 4 and int(p) < 256 and (p == "0" or p[0] != "0") for p in parts)
-        form, listed = (1 if plain else -1), (-1 if value.startswith(RESERVED) else 0)
+        form, listed = (1 if plain else -1), (-1 if reserved(value) else 0)
     elif kind == "card":
         form = 1 if 13 <= len(digits) <= 19 and luhn(digits) else -1
-        listed = 1 if digits.startswith(CARD_PREFIXES) else -1
+        listed = 1 if card_network(digits) else -1
     else:
         form = 1 if 10 <= len(digits) <= 15 else -1
-        listed = 1 if value[0] in "+(" else 0
+        # National numbers name no country, and the list has no vote on them.
+        listed = 0 if value[0] != "+" else 1 if calling_code(digits) else -1
     words = set(around)
     spoken = 1 if words & FOR else -1 if words & AGAINST else 0
-    return (1 if in_base else -1, form, listed, spoken)
+    # The base rule has no vote on what it does not look at: numbers without a plus, spelled-out signs.
+    looked = kind in ("ip", "card") or value[0] == "+" or "@" in value
+    return (1 if in_base else -1 if looked else 0, form, listed, spoken)
 
 
 FEATURES = 1 << 12
@@ -186,20 +269,23 @@ class Supervision:
 def estimate(counts: dict[tuple[int, ...], int], rounds: int) -> dict[tuple[int, ...], float]:
     """Likelihood of each vote pattern by expectation-maximisation over the patterns' counts.
 
-    Labelers are independent given the truth; each has its own chance of every vote under either
-    truth. It starts from the majority and from labelers that are mostly right.
+    Labelers are independent given the truth; each has its own chance of being right under either
+    truth. One that gives no vote says nothing of it. It starts from the majority and from labelers that are
+    mostly right.
     """
     patterns = sorted(counts)
     n = np.array([counts[p] for p in patterns], dtype=float)
-    vote = np.array(patterns, dtype=int).reshape(len(patterns), -1) + 1
-    belief = 1 / (1 + np.exp(-(vote - 1).sum(axis=1, dtype=float)))
+    vote = np.array(patterns, dtype=int).reshape(len(patterns), -1)
+    belief = 1 / (1 + np.exp(-vote.sum(axis=1, dtype=float)))
     for _ in range(rounds):
         prior = (n @ belief + 1) / (n.sum() + 2)
         odds = np.full(len(patterns), np.log(prior / (1 - prior)))
         for labeler in range(vote.shape[1]):
-            right = np.bincount(vote[:, labeler], n * belief, 3) + np.array([0.5, 1.0, 2.0])
-            wrong = np.bincount(vote[:, labeler], n * (1 - belief), 3) + np.array([2.0, 1.0, 0.5])
-            odds += (np.log(right / right.sum()) - np.log(wrong / wrong.sum()))[vote[:, labeler]]
+            given = vote[:, labeler] != 0
+            side = (vote[given, labeler] + 1) // 2
+            right = np.bincount(side, (n * belief)[given], 2) + np.array([0.5, 2.0])
+            wrong = np.bincount(side, (n * (1 - belief))[given], 2) + np.array([2.0, 0.5])
+            odds[given] += (np.log(right / right.sum()) - np.log(wrong / wrong.sum()))[side]
         belief = 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
     return dict(zip(patterns, belief.tolist(), strict=True))
 

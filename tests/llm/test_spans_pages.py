@@ -97,6 +97,43 @@ def spanned(rows):
     return {(r.doc_id, tuple(map(tuple, r.base)), tuple(map(tuple, r.added))) for r in rows}
 
 
+def test_gazetteers():
+    assert [pii.calling_code(d) for d in ("12125550147", "442071234567", "4930123456", "35312345678", "8312345678",
+                                          "0201234567", "1234567", "353123")] == [True] * 4 + [False] * 4
+    assert [pii.card_network(d) for d in ("4" + "0" * 15, "2221" + "0" * 12, "2720" + "9" * 12, "34" + "0" * 13, "6449" + "0" * 12,
+                                          "2721" + "0" * 12, "4" + "0" * 14, "1" * 16)] == [True] * 5 + [False] * 3
+    assert [pii.reserved(v) for v in ("10.1.2.3", "172.31.0.1", "100.64.0.1", "203.0.113.9", "172.32.0.1", "8.8.8.8",
+                                      "1.2.3", "300.1.1.1")] == [True] * 4 + [False] * 4
+    assert [pii.top_level(v) for v in ("a@b.com", "a@b.JP", "a@b.photography", "a@b.123")] == [1, 1, 0, -1]
+
+
+def test_a_long_base_span_is_seen():
+    """A looser candidate inside a base span that many later ones follow."""
+    text = "+" + "1 " * 7 + "212 555 0147 and " + " ".join(f"a{i}@b.com" for i in range(20))
+    base = [("phone", 0, len(text))] + [("email", 30 + i, 33 + i) for i in range(20)]
+    assert pii.candidates(text, base) == base
+
+
+def test_recall_of_planted_personal_data(spark):
+    """Numbers and spelled-out addresses outside the base rules, in whole test documents."""
+    rng = random.Random(12)
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").collect()
+    planted, rows = {}, []
+    for doc_id, text in docs:
+        text = text or ""
+        if rng.random() < 0.1:
+            local, digit = "".join(rng.choices("abcdefgh", k=6)), lambda n: "".join(rng.choices("123456789", k=n))
+            value, lead = rng.choice([
+                (f"{local} (at) {local}.org", " mail "), (f"({digit(3)}) {digit(3)}-{digit(4)}", " call ")])
+            planted[doc_id] = (len(text + lead), len(text + lead + value))
+            text = text + lead + value + " today"
+        rows.append((doc_id, text))
+    found = pii.find_personal_data(spark.createDataFrame(rows, DOCS.split(", lang")[0]).repartition(4)).collect()
+    added = {r.doc_id: {(s.start, s.stop) for s in r.added} for r in found}
+    caught = sum(place in added[d] for d, place in planted.items()) / len(planted)
+    assert len(planted) > 50 and caught >= 0.9, caught
+
+
 def test_personal_data_in_a_table(spark):
     rng = random.Random(3)
     rows = [(i, f"call me at +1 (212) 555-0{rng.randint(100, 999)} or mail a{i}@b.com or {rng.randint(1000, 9999)} total {i}.5") for i in range(60)]
