@@ -30,7 +30,9 @@ class Retrieval:
     """``window``: words of a passage; ``rank``: latent dimensions; ``common``: terms in more than
     this share of passages get weight zero, save an item's rarest; ``cosine``: least latent cosine of a candidate;
     ``overlap``: least share of an item's words in the common subsequence; ``answer``: least share
-    of its answer, the terms of its last quarter; ``items_at_once``: benchmark items per pass over the corpus."""
+    of its answer, the terms of its last quarter; ``words_at_once``: words of benchmark items per pass over
+    the corpus, which bound the vocabulary and so every array of a pass; ``items_per_rank``: items for which
+    a latent dimension is added beyond ``rank``, so that large benchmarks stay apart in the space."""
 
     window: int = 32
     rank: int = 48
@@ -38,7 +40,8 @@ class Retrieval:
     cosine: float = 0.35
     overlap: float = 0.7
     answer: float = 0.5
-    items_at_once: int = 5_000
+    words_at_once: int = 60_000
+    items_per_rank: int = 16
 
 
 def terms_of(text: str | None) -> list[str]:
@@ -245,15 +248,19 @@ def latent_space(terms: DataFrame, items: Items, weights: np.ndarray, r: Retriev
     Randomised range finder with one power step. Benchmark items count as passages, weighted up to
     the corpus, so that the space has room for what is searched.
     """
-    size, rank = len(weights), min(r.rank, len(weights))
+    size = len(weights)
+    rank = min(max(r.rank, len(items.terms) // r.items_per_rank), size)
     width = min(size, rank + 8)
-    items_matrix = np.zeros((len(items.terms), size))
-    for i, item in enumerate(items.terms):
-        np.add.at(items_matrix[i], item, weights[item])
+    # The items' matrix, one entry for a word of an item.
+    item = np.repeat(np.arange(len(items.terms)), [len(t) for t in items.terms])
+    term = np.concatenate(items.terms)
+    starts = np.flatnonzero(np.diff(item, prepend=-1))
 
     def product(right: np.ndarray) -> np.ndarray:
         corpus = gram_product(terms, weights, right, r.window)
-        own = items_matrix.T @ (items_matrix @ right)
+        latent = np.add.reduceat(weights[term, None] * right[term], starts, axis=0)
+        own = np.zeros((size, right.shape[1]))
+        np.add.at(own, term, weights[term, None] * latent[item])
         scale = np.linalg.norm(corpus) / max(np.linalg.norm(own), 1e-12)
         return corpus + max(scale, 1.0) * own
 
@@ -325,18 +332,24 @@ def _search(items: Items, weights: np.ndarray, frequency: np.ndarray, basis: np.
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _pieces(batches):
             best: dict[tuple[int, int], tuple[float, float, float]] = {}
-            places, terms = {}, {}
+            places, terms, seen = {}, {}, {}
             for d, j, begin, cosine in candidates(batch):
                 length = len(items.terms[j])
                 if d not in places:
                     places[d] = batch["places"][d].values.to_numpy()
                     terms[d] = batch["terms"][d].values.to_numpy()
                 lo, hi = np.searchsorted(places[d], [begin - length, begin + r.window + length])
-                around = terms[d][lo:hi].tolist()
-                answer = len(answers[j].intersection(around)) / len(answers[j])
-                if answer < r.answer:
-                    continue
-                overlap = common_subsequence(masks[j], length, around) / length
+                if hi - lo < r.overlap * length:
+                    continue  # too few words for a match
+                stretch = (d, j, int(lo), int(hi))
+                if stretch not in seen:
+                    around = terms[d][lo:hi].tolist()
+                    answer = len(answers[j].intersection(around)) / len(answers[j])
+                    overlap = 0.0
+                    if answer >= r.answer:
+                        overlap = common_subsequence(masks[j], length, around) / length
+                    seen[stretch] = overlap, answer
+                overlap, answer = seen[stretch]
                 if overlap >= r.overlap:
                     best[d, j] = max(best.get((d, j), (0.0, 0.0, 0.0)), (overlap, answer, cosine))
             if best:
@@ -356,7 +369,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, r: Retrieval = Retrieval
     ``docs`` has doc_id and text, ``benchmark`` item_id and text; other columns are not read. Null
     or empty texts and items match nothing; repeated rows of ``docs`` give repeated rows, equal
     items one row each. Empty tables give no rows. ``text_key`` is the MD5 of the text. The
-    benchmark is the stated query set: it is read in blocks of ``items_at_once``, each searched over
+    benchmark is the stated query set: it is read in blocks of ``words_at_once``, each searched over
     the whole corpus.
     """
     spark = docs.sparkSession
@@ -364,10 +377,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, r: Retrieval = Retrieval
     kind = "doc_id long, text_key binary, item_id long, overlap double, answer double, cosine double"
     found = spark.createDataFrame([], kind)
     queries = spill(benchmark.select(F.col("item_id").cast("long"), "text"), "items")
-    blocks = -(-queries.count() // r.items_at_once)
+    words = queries.agg(F.sum(F.size(F.split(F.coalesce("text", F.lit("")), r"[\W_]+")))).first()[0]
+    blocks = -(-(words or 0) // r.words_at_once)
     place = F.pmod(F.xxhash64("item_id", "text"), F.lit(max(blocks, 1)))
     for block in range(blocks):
-        rows = queries.filter(place == block).collect()  # about items_at_once of them
+        rows = queries.filter(place == block).collect()  # of about words_at_once words
         rows = sorted(((i, t) for i, t in rows if terms_of(t)), key=lambda x: (x[0] is None, x))
         if not rows:
             continue
