@@ -44,8 +44,13 @@ class Retrieval:
     items_per_rank: int = 16
 
 
+# Every ASCII character in lower case, or a blank where it is in no term.
+PLAIN = {i: chr(i).lower() if chr(i).isalnum() else " " for i in range(128)}
+
+
 def terms_of(text: str | None) -> list[str]:
-    return TERM.findall((text or "").lower())
+    text = text or ""
+    return text.translate(PLAIN).split() if text.isascii() else TERM.findall(text.lower())
 
 
 class Items:
@@ -68,11 +73,16 @@ def _compact(items: Items):
             for text in batch["text"].to_pylist():
                 words = terms_of(text)
                 found = np.fromiter(map(known, words, repeat(-1)), dtype=np.int32, count=len(words))
-                place = np.flatnonzero(found >= 0).astype(np.int32)
+                place = np.flatnonzero(found >= 0)
                 counts.append(len(found))
                 at.append(place)
                 terms.append(found[place])
-            lists = [pa.array(x, pa.list_(pa.int32())) for x in (at, terms)]
+            ends = np.cumsum([0, *map(len, at)], dtype=np.int32)
+            none = [np.zeros(0, dtype=np.int32)]
+            lists = [
+                pa.ListArray.from_arrays(ends, np.concatenate([*x, *none]).astype(np.int32))
+                for x in (at, terms)
+            ]
             yield pa.RecordBatch.from_arrays(
                 [batch["doc_id"], batch["text_key"], pa.array(counts, pa.int32()), *lists],
                 names=["doc_id", "text_key", "n_words", "places", "terms"],
@@ -245,8 +255,9 @@ def gram_product(terms: DataFrame, weights: np.ndarray, right: np.ndarray, windo
 def latent_space(terms: DataFrame, items: Items, weights: np.ndarray, r: Retrieval) -> np.ndarray:
     """Right singular vectors (terms x rank) of corpus and benchmark passages together.
 
-    Randomised range finder with one power step. Benchmark items count as passages, weighted up to
-    the corpus, so that the space has room for what is searched.
+    The Nyström form of the randomised SVD: a single product of transpose(A) A with random vectors gives
+    both the range and the small matrix. Benchmark items count as passages, weighted up to the corpus, so
+    that the space has room for what is searched.
     """
     size = len(weights)
     rank = min(max(r.rank, len(items.terms) // r.items_per_rank), size)
@@ -264,12 +275,17 @@ def latent_space(terms: DataFrame, items: Items, weights: np.ndarray, r: Retriev
         scale = np.linalg.norm(corpus) / max(np.linalg.norm(own), 1e-12)
         return corpus + max(scale, 1.0) * own
 
-    start = np.random.default_rng(7).standard_normal((size, width))
-    basis, _ = np.linalg.qr(product(start))
-    image = product(basis)
-    small = basis.T @ image
-    values, vectors = np.linalg.eigh((small + small.T) / 2)
-    return basis @ vectors[:, np.argsort(-values)[:rank]]
+    start = np.linalg.qr(np.random.default_rng(7).standard_normal((size, width)))[0]
+    image = product(start)
+    inner = start.T @ image
+    values, turn = np.linalg.eigh((inner + inner.T) / 2)
+    # Products are in single precision: what is below that is noise, as where there are few passages.
+    held = values > 1e-6 * values[-1]
+    if not held.any() or values[-1] <= 0:
+        return start[:, :1]
+    half = image @ (turn[:, held] / np.sqrt(values[held]))
+    vectors, _, _ = np.linalg.svd(half, full_matrices=False)
+    return vectors[:, :rank]
 
 
 def common_subsequence(item: dict[int, int], length: int, text: list[int]) -> int:
