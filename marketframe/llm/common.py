@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketframe.session import scratch_dir
+from marketframe.sources.folders import remove
 
 # White space as the contracts have it: space and the five ASCII controls from tab to return.
 SPACES = " \t\n\x0b\x0c\r"
@@ -28,6 +29,12 @@ def spill(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Remove the folder of a spilled table, once nothing that is still to run reads it."""
+    for folder in {file.rpartition("/")[0] for file in df.inputFiles()}:
+        remove(df.sparkSession, folder)
+
+
 _SHIPPED: set[str] = set()
 
 

@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketframe.llm.common import spill, words_of
+from marketframe.llm.common import discard, spill, words_of
 
 # Patterns of the character classes, in the order in which they are taken out of a text; what is
 # left is the last class.
@@ -288,10 +288,16 @@ def score_quality(
     Repeated rows get equal verdicts; an empty table gives none. Columns of ``docs`` that have one
     of the added names are replaced; columns starting with ``_q_`` are reserved.
     """
-    rules_out = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-    rules_out += ["base_failed", "char_distance", "word_distance", "kept"]
-    names = [c for c in (docs.columns if keep is None else keep) if c.lower() not in rules_out]
-    measured = spill(_measured(docs, names, rules), "measured")
+    names = [c for c in (docs.columns if keep is None else keep) if c.lower() not in SCORES]
+    return _scored(spill(_measured(docs, names, rules), "measured"), names, rules)
+
+
+SCORES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+SCORES += ["base_failed", "char_distance", "word_distance", "kept"]
+
+
+def _scored(measured: DataFrame, names: Sequence[str], rules: QualityRules) -> DataFrame:
+    """``names`` and the scores of written rows of ``_measured``."""
     references = spill(language_references(measured, rules), "references")
     small = references.count() <= rules.max_languages  # of at most 1 / common_share words each
     references = references.select(
@@ -321,12 +327,14 @@ def score_quality(
     near = F.coalesce(F.col("char_distance") <= rules.max_char_distance, F.lit(True))
     alike = F.coalesce(F.col("word_distance") <= rules.max_word_distance, F.lit(True))
     df = df.withColumn("kept", ~F.col("base_failed") & near & alike)
-    return df.select(*names, *rules_out)
+    return df.select(*names, *SCORES)
 
 
 def keep_good(docs: DataFrame, rules: QualityRules = CORPUS_RULES) -> DataFrame:
     """The rows of ``docs`` that the rules keep, with their own columns only."""
     packed = docs.select(F.struct(*docs.columns).alias("_row"), "text", "lang")
+    measured = spill(_measured(packed, ["_row"], rules), "measured")
     # Written, because a filter on the verdict would be planned as all that the verdict rests on.
-    scored = spill(score_quality(packed, rules, keep=["_row"]).select("_row", "kept"), "scored")
+    scored = spill(_scored(measured, ["_row"], rules).select("_row", "kept"), "scored")
+    discard(measured)  # it holds the texts once more
     return scored.filter("kept").select("_row.*")
