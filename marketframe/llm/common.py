@@ -22,10 +22,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spill(df: DataFrame, purpose: str) -> DataFrame:
+def spill(df: DataFrame, purpose: str, compression: str | None = None) -> DataFrame:
     """Write to the shared scratch folder and read back: short lineage, and no lost work."""
     spark, path = df.sparkSession, f"{scratch_dir(df.sparkSession, purpose)}/rows"
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 

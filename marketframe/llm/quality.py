@@ -335,6 +335,6 @@ def keep_good(docs: DataFrame, rules: QualityRules = CORPUS_RULES) -> DataFrame:
     packed = docs.select(F.struct(*docs.columns).alias("_row"), "text", "lang")
     measured = spill(_measured(packed, ["_row"], rules), "measured")
     # Written, because a filter on the verdict would be planned as all that the verdict rests on.
-    scored = spill(_scored(measured, ["_row"], rules).select("_row", "kept"), "scored")
+    scored = spill(_scored(measured, ["_row"], rules).select("_row", "kept"), "scored", "zstd")
     discard(measured)  # it holds the texts once more
     return scored.filter("kept").select("_row.*")
