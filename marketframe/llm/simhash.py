@@ -118,7 +118,9 @@ def links_within(
     found = None
     while True:
         counts = rows.groupBy("mask", "key").count().filter("count > 1")
-        shared = spill(rows.join(counts, ["mask", "key"]), "buckets")
+        # Merged by hint: Spark sizes the exploded rows as if they were one per fingerprint and
+        # would broadcast them.
+        shared = spill(rows.join(counts.hint("merge"), ["mask", "key"]), "buckets")
         small = shared.filter(F.col("count") <= bucket_limit)
         links = (
             small.groupBy("mask", "key")
