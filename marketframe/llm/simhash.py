@@ -87,7 +87,8 @@ def spanning_links(values: np.ndarray, radius: int = RADIUS) -> list[tuple[int,
         reached, left = [left[0]], left[1:]
         while reached and len(left):
             at = reached.pop()
-            near = np.bitwise_count(left ^ at) <= radius
+            # Unsigned: numpy counts the bits of a negative number's absolute value.
+            near = np.bitwise_count((left ^ at).view(np.uint64)) <= radius
             links += [(int(at), int(x)) for x in left[near]]
             reached += list(left[near])
             left = left[~near]
